@@ -82,7 +82,9 @@ class Words:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray):
         self.texts = len(offsets) - 1
+        self.at = offsets
         data = _LOWER[data]
+        self.bytes = data
         inside = word_bytes[data]
         n = len(data)
         first = inside.copy()
@@ -105,6 +107,21 @@ class Words:
         #: First word of each text, and one past the last.
         self.bounds = np.searchsorted(self.text, np.arange(self.texts + 1))
 
+    def spelled(self, at: int, size: int) -> bytes:
+        """The words of a window, lower-cased, with one space between."""
+        return b" ".join(self.bytes[a:b].tobytes() for a, b in zip(self.start[at : at + size], self.end[at : at + size], strict=True))
+
+    def runs(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, hash) of all windows of exactly `size` words within a text."""
+        n = len(self.hash)
+        if n < size:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        h = np.full(n - size + 1, _U(size))
+        for k in range(size):
+            h = h * _U(0xC2B2AE3D27D4EB4F) + self.hash[k : n - size + 1 + k]
+        at = np.flatnonzero(self.text[: n - size + 1] == self.text[size - 1 :])
+        return at, mix(h[at])
+
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(first word, hash) of all windows of `size` words; a shorter text is one window if it has words."""
         n = len(self.hash)
