@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonehive.llm import decontam, near_text, pii
+from tonehive.llm import decontam, near_text, pii, sentences
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,11 +25,16 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.remove_repeated_spans(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_minhash_near_dedup": op3_minhash_near_dedup,
         "op8_pii": op8_pii,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
