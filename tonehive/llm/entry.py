@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonehive.llm import decontam, near_text, pii, sentences
+from tonehive.llm import decontam, near_text, near_vec, pii, sentences
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_text.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vec.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_minhash_near_dedup": op3_minhash_near_dedup,
+        "op4_embedding_near_dedup": op4_embedding_near_dedup,
         "op8_pii": op8_pii,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_substring_dedup": op10_substring_dedup,
