@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonehive.llm import decontam, near_text, near_vec, pii, sentences
+from tonehive.llm import decontam, merkle, mixing, near_text, near_vec, pii, quality, sentences
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fixity_report(_table(spark, sf_dir, "pages"))
+
+
+def op2_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_text.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -21,6 +29,10 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vec.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_quality_empirical_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(_table(spark, sf_dir, "documents"))
 
@@ -35,13 +47,44 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc_merkle_fixity": op1_warc_merkle_fixity,
+        "op2_soft_membership_mixing": op2_soft_membership_mixing,
         "op3_minhash_near_dedup": op3_minhash_near_dedup,
         "op4_embedding_near_dedup": op4_embedding_near_dedup,
+        "op7_quality_empirical_bayes": op7_quality_empirical_bayes,
         "op8_pii": op8_pii,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
 
+#: Records as they are written, their digests, and the rows where the two replicas differ.
+OP1_SQL = """
+WITH worn AS (
+  SELECT page_id, url, html,
+         CASE WHEN page_id % 97 = 3 THEN 'x' || substring(html, 2)
+              WHEN page_id % 97 = 50 THEN substring(html, 1, CAST(floor(length(html) / 2) AS INTEGER))
+              ELSE html END AS worn
+  FROM pages
+), records AS (
+  SELECT page_id,
+         chr(13) || chr(10) AS eol,
+         'WARC/1.0' || eol || 'WARC-Type: resource' || eol || 'WARC-Target-URI: ' || coalesce(url, '') || eol
+           || 'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), 'none') || '>' || eol
+           || 'Content-Type: text/html' || eol || 'Content-Length: ' AS head,
+         coalesce(html, '') AS a, coalesce(worn, '') AS b
+  FROM worn
+), digests AS (
+  SELECT page_id,
+         sha256(head || CAST(strlen(a) AS VARCHAR) || eol || eol || a || eol || eol) AS expected,
+         CASE WHEN coalesce(page_id % 97 = 77, FALSE) THEN NULL
+              ELSE sha256(head || CAST(strlen(b) AS VARCHAR) || eol || eol || b || eol || eol) END AS found
+  FROM records
+)
+SELECT page_id, CASE WHEN found IS NULL THEN 'missing' ELSE 'altered' END AS status, expected, found, count(*) AS times
+FROM digests WHERE found IS DISTINCT FROM expected GROUP BY page_id, expected, found
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc_merkle_fixity": OP1_SQL}
