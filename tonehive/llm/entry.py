@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonehive.llm import decontam, langid, merkle, mixing, near_text, near_vec, pii, quality, sentences
+from tonehive.llm import decontam, html_main, langid, merkle, mixing, near_text, near_vec, pii, quality, sentences
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op5_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract_main(_table(spark, sf_dir, "pages"))
+
+
 def op7_quality_empirical_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -56,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_minhash_near_dedup": op3_minhash_near_dedup,
         "op4_embedding_near_dedup": op4_embedding_near_dedup,
         "op5_kneser_ney_langid": op5_kneser_ney_langid,
+        "op6_html_main_text": op6_html_main_text,
         "op7_quality_empirical_bayes": op7_quality_empirical_bayes,
         "op8_pii": op8_pii,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
