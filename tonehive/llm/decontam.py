@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -181,3 +180,28 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> Da
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def without_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", length_col: str | None = None, **options) -> DataFrame:
+    """`docs` without contaminated documents, and without the words that are hit in the others.
+
+    Columns stay as they are but for the text, and `length_col`, if given, which is set to the
+    changed text's length in code points.
+    """
+    names = docs.columns
+    others = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in names if c != text_col))
+    found = find_contamination(docs.select(others.alias("others"), F.col(text_col).alias("text")), benchmark, id_col="others", **options)
+    found = found.where(~((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))))
+    blank = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    piece = lambda start, stop: F.substr(F.col("text"), start + 1, stop - start)
+    step = lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(piece(acc["at"], s["start"]))).alias("out"))
+    rest = F.aggregate("hits", blank, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(F.col("text"), acc["at"] + 1)))
+    new = F.when(F.size("hits") > 0, rest).otherwise(F.col("text"))
+    fresh = found.select("id", new.alias("new"), (F.size("hits") > 0).alias("changed"))
+    cols = []
+    for c in names:
+        old = F.col(f"id.`{c}`") if c != text_col else F.col("new")
+        if c == length_col:
+            old = F.when(F.col("changed"), F.char_length("new").cast(docs.schema[c].dataType)).otherwise(old)
+        cols.append(old.alias(c))
+    return fresh.select(*cols)

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonehive.llm.store import cut
 from tonehive.llm.textcore import ALPHANUMERIC, SPACE_SEPARATED, Words, buffers, mix, pieces
 
 #: Labelled rows that a classifier is fitted on, at most (in expectation).
@@ -97,12 +98,16 @@ class Linear:
         return e / e.sum(1, keepdims=True)
 
 
-def _sampled(labelled: DataFrame, limit: int) -> DataFrame:
-    """About `limit` rows, chosen by a hash of the text, or all if there are fewer."""
-    n = labelled.count()
+def bounded(labels: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:
+    """About `limit` rows of (doc_id, y), chosen by a hash of doc_id, or all if there are fewer.
+
+    So the result may be broadcast: it has at most `limit` rows in expectation, of a few bytes.
+    """
+    known = labels.where("doc_id is not null and y is not null")
+    n = known.count()
     if n <= limit:
-        return labelled
-    return labelled.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) < int((1 << 30) * limit / n))
+        return known
+    return known.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) < int((1 << 30) * limit / n))
 
 
 def _word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,39 +135,38 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.int64())], [*batch.schema.names, "sketch"])
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, rounds: int = 400, ridge: float = 1e-3) -> Linear | None:
-    """A classifier from (text, y); None if the table has no labelled text.
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, rounds: int = 400, ridge: float = 1e-3) -> Linear | None:
+    """A classifier from docs (doc_id, text) and labels (doc_id, y); None if no text is labelled.
 
-    At most about `sample_rows` rows are used, one of each group with the same least shingle hash,
-    so that many copies of a text do not pass for many texts. What comes to the driver is a row of
-    numbers for each of them and at most LEXICON_WORDS words.
+    About `sample_rows` labels are used at most, and of the texts one of each group with the same
+    least shingle hash, so that many copies of a text do not pass for many texts. What comes to
+    the driver is a row of numbers for each of them and at most LEXICON_WORDS words.
     """
-    rows = labelled.where("text is not null and y is not null").select("text", F.col("y").cast("string").alias("y"))
-    sample = _sampled(rows, sample_rows).mapInArrow(_sketch, "text string, y string, sketch long").dropDuplicates(["y", "sketch"]).select("text", "y").persist()
-    try:
-        total = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).limit(1000).collect()}
-        if not total:
-            return None
-        names = sorted(total)
-        n = sum(total.values())
-        sizes = sample.sparkSession.createDataFrame([(y, float(k)) for y, k in total.items()], "y string, size double")
-        counted = sample.mapInArrow(_word_sets, "y string, w long, k long").groupBy("y", "w").agg(F.sum("k").alias("k"))
-        everywhere = counted.groupBy("w").agg(F.sum("k").alias("all"))
-        frequent = counted.join(F.broadcast(sizes), "y").where((F.col("k") >= LEXICON_TEXTS) & (F.col("k") >= LEXICON_SHARE * F.col("size")))
-        rate = lambda k, size: (k + 0.5) / (size + 1.0)
-        ratio: Column = rate(F.col("k"), F.col("size")) / rate(F.col("all") - F.col("k"), F.lit(float(n)) - F.col("size"))
-        marks = frequent.join(everywhere, "w").withColumn("ratio", ratio).where(F.col("ratio") >= LEXICON_RATIO).orderBy(F.desc("ratio"), "w").limit(LEXICON_WORDS)
-        lexicon = np.array(sorted(int(r.w) & 0xFFFFFFFFFFFFFFFF for r in marks.select("w").collect()), np.uint64)
-
-        def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                x = features(batch.column("text"), lexicon)
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(NAMES)), pa.array(x.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column("y"), flat], ["y", "x"])
-
-        got = sample.mapInArrow(numbers, "y string, x array<double>").toArrow()
-    finally:
-        sample.unpersist()
+    y = bounded(labels.select("doc_id", F.col("y").cast("string").alias("y")), sample_rows)
+    rows = docs.where("text is not null").join(F.broadcast(y), "doc_id").select("text", "y")
+    sample = rows.mapInArrow(_sketch, "text string, y string, sketch long").dropDuplicates(["y", "sketch"]).select("text", "y")
+    sample = cut(sample)
+    total = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).limit(1000).collect()}
+    if not total:
+        return None
+    names = sorted(total)
+    n = sum(total.values())
+    sizes = sample.sparkSession.createDataFrame([(y, float(k)) for y, k in total.items()], "y string, size double")
+    counted = sample.mapInArrow(_word_sets, "y string, w long, k long").groupBy("y", "w").agg(F.sum("k").alias("k"))
+    everywhere = counted.groupBy("w").agg(F.sum("k").alias("all"))
+    frequent = counted.join(F.broadcast(sizes), "y").where((F.col("k") >= LEXICON_TEXTS) & (F.col("k") >= LEXICON_SHARE * F.col("size")))
+    rate = lambda k, size: (k + 0.5) / (size + 1.0)
+    ratio: Column = rate(F.col("k"), F.col("size")) / rate(F.col("all") - F.col("k"), F.lit(float(n)) - F.col("size"))
+    marks = frequent.join(everywhere, "w").withColumn("ratio", ratio).where(F.col("ratio") >= LEXICON_RATIO).orderBy(F.desc("ratio"), "w").limit(LEXICON_WORDS)
+    lexicon = np.array(sorted(int(r.w) & 0xFFFFFFFFFFFFFFFF for r in marks.select("w").collect()), np.uint64)
+
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = features(batch.column("text"), lexicon)
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(NAMES)), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("y"), flat], ["y", "x"])
+
+    got = sample.mapInArrow(numbers, "y string, x array<double>").toArrow()
     x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, len(NAMES))
     y = np.searchsorted(names, np.array(got["y"].to_pylist()))
     order = np.lexsort((*x.T, y))  # the same fit whatever the order of arrival

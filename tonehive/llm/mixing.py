@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tonehive.llm.docfeatures import SAMPLE_ROWS, Linear, fit
 from tonehive.llm.store import cut
+from tonehive.llm.textcore import SPACE_SEPARATED, each_words
 
 ITERATIONS = 60
 TOLERANCE = 1e-4
@@ -34,20 +35,26 @@ def domain_of(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, "toxic").when(quality == 1, "clean").when(quality == 0, "rough")
 
 
-def _posteriors(model: Linear | None, domains: list[str]):
+def _posteriors(model: Linear | None, domains: list[str], text_col: str):
+    """Tokens and posteriors of each text, in place of the text or beside a row that holds it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            inside = "row" in batch.schema.names
+            text = batch.column("row").field(text_col) if inside else batch.column("text")
             p = np.full((batch.num_rows, len(domains)), 1.0 / max(len(domains), 1))
             if model is not None and set(model.names) & set(domains):
-                got = model.posteriors(batch.column("text"))
+                got = model.posteriors(text)
                 p[:] = 0.0
                 for k, name in enumerate(model.names):
                     if name in domains:
                         p[:, domains.index(name)] = got[:, k]
                 p /= np.maximum(p.sum(1, keepdims=True), 1e-12)
             p = np.round(p, 6)
+            tokens = np.concatenate([np.zeros(0, np.int64), *(np.diff(words.bounds) for _, _, words in each_words(text, SPACE_SEPARATED))])
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * len(domains)), pa.array(p.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("tokens"), lists], ["row", "tokens", "p"])
+            kept = ["row"] if inside else []
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(tokens.astype(np.int64)), lists], [*kept, "tokens", "p"])
 
     return run
 
@@ -76,8 +83,9 @@ def fit_rates(members: DataFrame, targets: np.ndarray, budget: float | None = No
     scaled = weight[:, None] * g * weight[None, :]
     values, vectors = np.linalg.eigh(scaled)
     # The gradient is preconditioned by the Gram matrix of the domains: without the constraint one
-    # step would do. Where projection takes part of it back, the next steps make up for it.
-    keep = values > 1e-9 * values.max()
+    # step would do. Where projection takes part of it back, the next steps make up for it. A
+    # direction in which the documents hardly differ (a domain that none is in) is left alone.
+    keep = values > 1e-4 * values.max()
     inverse = (vectors[:, keep] / values[keep]) @ vectors[:, keep].T
     steps: list[np.ndarray] = []
     rate = F.lit(start)
@@ -86,7 +94,7 @@ def fit_rates(members: DataFrame, targets: np.ndarray, budget: float | None = No
     length = 1.0
     for n in range(iterations + 1):
         residual = (got - want) * weight
-        error = float(np.abs(got - want).max() / budget)
+        error = float(np.sqrt((residual * residual).mean()))
         if error < best[0]:
             best = (error, n, got)
         else:
@@ -119,15 +127,12 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     targets = DOMAINS if targets is None else targets
     domains = sorted(targets)
     y = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(domain_of(F.col("quality"), F.col("toxic"))).alias("y"))
-    model = fit(docs.select("doc_id", F.col(text_col).alias("text")).join(y, "doc_id").select("text", "y"), sample_rows)
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).alias("text"))
-    tokens = F.coalesce(F.size(F.filter(F.split(F.col("text"), r"\s+"), lambda w: w != "")), F.lit(0)).cast("long")
-    counted = rows.select("row", "text", F.when(F.col("text").isNull(), 0).otherwise(tokens).cast("long").alias("tokens"))
+    model = fit(docs.select("doc_id", F.col(text_col).alias("text")), y, sample_rows)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     kinds = rows.schema["row"].dataType.simpleString()
-    slim = counted.select(F.struct(F.lit(0).alias("x")).alias("row"), "text", "tokens").mapInArrow(_posteriors(model, domains), "row struct<x:int>, tokens long, p array<double>")
-    members = cut(slim.select("tokens", "p"))
+    members = cut(docs.select(F.col(text_col).alias("text")).mapInArrow(_posteriors(model, domains, text_col), "tokens long, p array<double>"))
     rate, _, _ = fit_rates(members, np.array([targets[d] for d in domains]), budget)
-    return counted.mapInArrow(_posteriors(model, domains), f"row {kinds}, tokens long, p array<double>").withColumn("rate", F.round(rate, 6))
+    return rows.mapInArrow(_posteriors(model, domains, text_col), f"row {kinds}, tokens long, p array<double>").withColumn("rate", F.round(rate, 6))
 
 
 def mixing_report(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:

@@ -137,7 +137,7 @@ def redact(docs: DataFrame, text_col: str = "text", least_score: float = 0.0, le
     """`docs` with every span of at least this score replaced by its kind in brackets.
 
     Spans that overlap are replaced together, by the kind of the first. A null text stays null.
-    `length_col`, if given, is set to the new text's length in code points (null for a null text).
+    `length_col`, if given, is set to a changed text's length in code points.
     """
     names = docs.columns
     rows = find_spans(docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col(text_col).alias("text")))
@@ -154,13 +154,13 @@ def redact(docs: DataFrame, text_col: str = "text", least_score: float = 0.0, le
 
     rest = F.aggregate("pii", blank, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(F.col("text"), acc["at"] + 1)))
     new = F.when(F.size("pii") > 0, rest).otherwise(F.col("text"))
-    fresh = rows.select("row", new.alias("new"))
+    fresh = rows.select("row", new.alias("new"), (F.size("pii") > 0).alias("changed"))
     cols = []
     for c in names:
         if c == text_col:
             cols.append(F.col("new").alias(c))
         elif c == length_col:
-            cols.append(F.char_length("new").cast(docs.schema[c].dataType).alias(c))
+            cols.append(F.when(F.col("changed"), F.char_length("new").cast(docs.schema[c].dataType)).otherwise(F.col(f"row.`{c}`")).alias(c))
         else:
             cols.append(F.col(f"row.`{c}`").alias(c))
     return fresh.select(*cols)

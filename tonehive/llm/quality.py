@@ -36,24 +36,27 @@ def label_of(quality: Column, toxic: Column) -> Column:
 def fit_on_labels(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Linear | None:
     """Fits good / toxic / poor on the documents that `labels` (doc_id, quality, toxic) covers."""
     y = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(label_of(F.col("quality"), F.col("toxic"))).alias("y"))
-    return fit(docs.select("doc_id", "text").join(y, "doc_id").select("text", "y"), sample_rows)
+    return fit(docs.select("doc_id", "text"), y, sample_rows)
 
 
-def _evidence(model: Linear | None):
-    """Log-likelihood ratio of good against all else, beside the other columns of each row."""
+def _evidence(model: Linear | None, text_col: str):
+    """Log-likelihood ratio of good against all else, in place of the text or beside a row that holds it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            inside = "row" in batch.schema.names
+            text = batch.column("row").field(text_col) if inside else batch.column("text")
             llr = np.zeros(batch.num_rows)
             if model is not None and GOOD in model.names and len(model.names) > 1:
                 k = model.names.index(GOOD)
-                p = np.clip(model.posteriors(batch.column("text"))[:, k], 1e-6, 1 - 1e-6)
+                p = np.clip(model.posteriors(text)[:, k], 1e-6, 1 - 1e-6)
                 prior = np.clip(model.prior[k], 1e-6, 1 - 1e-6)
                 llr = np.log(p / (1 - p)) - np.log(prior / (1 - prior))
-                words = np.array([len(t.split()) if t is not None and len(t) < SHORT else SHORT for t in batch.column("text").to_pylist()])
+                words = np.array([len(t.split()) if t is not None and len(t) < SHORT else SHORT for t in text.to_pylist()])
                 llr *= words / (words + FEW)
-                llr[~np.asarray(batch.column("text").is_valid())] = -20.0
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(llr)], [*batch.schema.names, "llr"])
+                llr[~np.asarray(text.is_valid())] = -20.0
+            keep = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(llr)], [*keep, "llr"])
 
     return run
 
@@ -82,7 +85,7 @@ def with_posterior(docs: DataFrame, model: Linear | None, host: Column, path: Co
     hosts and paths are sites like any other.
     """
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), host.cast("string").alias("host"), path.cast("string").alias("path"), F.col(text_col).alias("text"))
-    scored = rows.select("host", "path", "text").mapInArrow(_evidence(model), "host string, path string, text string, llr double")
+    scored = rows.select("host", "path", "text").mapInArrow(_evidence(model, text_col), "host string, path string, llr double")
     prior = 0.5 if model is None or GOOD not in model.names else float(np.clip(model.prior[model.names.index(GOOD)], 1e-3, 1 - 1e-3))
     offset = float(np.log(prior / (1 - prior)))
     expected = 1 / (1 + F.exp(-(F.col("llr") + offset)))
@@ -96,7 +99,7 @@ def with_posterior(docs: DataFrame, model: Linear | None, host: Column, path: Co
     k = _strength(joined, "parent")
     sites = cut(joined.select(F.col("host").alias("_h"), F.col("path").alias("_p"), ((F.col("good") + k * F.col("parent")) / (F.col("n") + k)).alias("site")))
     kinds = rows.schema["row"].dataType.simpleString()
-    again = rows.mapInArrow(_evidence(model), f"row {kinds}, host string, path string, text string, llr double")
+    again = rows.select("row", "host", "path").mapInArrow(_evidence(model, text_col), f"row {kinds}, host string, path string, llr double")
     out = again.join(sites, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
     return out.select("row", "llr", "site", (1 / (1 + F.exp(-(_logit(F.col("site")) + F.col("llr"))))).alias("posterior"))
 
@@ -109,9 +112,7 @@ def quality_report(docs: DataFrame, labels: DataFrame, least: float = LEAST, sam
     and everything with a text is judged alike. Repeated rows are judged alike.
     """
     model = fit_on_labels(docs, labels, sample_rows)
-    need = docs.select("doc_id", "text", "source", "lang")
-    slim = need.select("doc_id", "text", "source", "lang")
-    scored = with_posterior(slim, model, F.col("source"), F.col("lang"))
+    scored = with_posterior(docs.select("doc_id", "text", "source", "lang"), model, F.col("source"), F.col("lang"))
     return scored.select(F.col("row.doc_id").alias("doc_id"), F.round("llr", 6).alias("evidence"), F.round("site", 6).alias("site_rate"), F.round("posterior", 6).alias("posterior"), (F.col("posterior") >= least).alias("kept"))
 
 
