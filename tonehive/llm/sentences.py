@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonehive.llm.store import cut
 from tonehive.llm.textcore import SPACE_SEPARATED, Words, each_words, mix
 
 UNITS = 3
@@ -138,7 +139,8 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     seen = rows.where("text is not null").withColumn("rk", key).mapInArrow(_occurrences(units, unit_words, least_words), "h long, id long, rk long, a int, b int")
     order = F.struct(F.col("id").isNull().alias("n"), "id", "rk", "a")
     first = seen.groupBy("h").agg(F.min(order).alias("f"), F.max(order).alias("l")).where("f <> l").select("h", F.col("f.rk").alias("rk0"), F.col("f.a").alias("a0"))
-    later = seen.join(first, "h").where("rk <> rk0 or a <> a0")
+    # Written first: a join of two shuffled sides is one whose frequent keys Spark can split.
+    later = seen.join(cut(first), "h").where("rk <> rk0 or a <> a0")
     gone = later.groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     both = rows.withColumn("rk", key).join(gone, "rk", "left").select(F.col("id").alias("row"), "text", "spans")
     out = both.mapInArrow(_without(unit_words), "row long, text string, n_units long, n_removed long")
