@@ -27,6 +27,8 @@ from tonehive.llm.textcore import SPACE_SEPARATED, each_words
 
 ITERATIONS = 60
 TOLERANCE = 1e-4
+#: The fit ends when this many iterations in a row lower the error by less than one in a thousand.
+PATIENCE = 4
 DOMAINS = {"clean": 0.90, "rough": 0.05, "toxic": 0.05}
 
 
@@ -91,15 +93,18 @@ def fit_rates(members: DataFrame, targets: np.ndarray, budget: float | None = No
     rate = F.lit(start)
     got = np.array([first[f"s{i}"] for i in range(k)]) * start
     best: tuple[float, int, np.ndarray] = (float("inf"), 0, got)
-    length = 1.0
+    length, stalled = 1.0, 0
     for n in range(iterations + 1):
         residual = (got - want) * weight
         error = float(np.sqrt((residual * residual).mean()))
         if error < best[0]:
+            gained = error < best[0] * 0.999
+            stalled = 0 if gained else stalled + 1
             best = (error, n, got)
         else:
+            stalled += 1
             length = max(length / 2, 0.05)
-        if error < tolerance or n == iterations:
+        if error < tolerance or n == iterations or stalled >= PATIENCE:
             break
         steps.append(length * (inverse @ residual) * weight)
         rate = _fold(steps, start)
