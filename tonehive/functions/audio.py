@@ -165,7 +165,8 @@ def wav_header(data: Column) -> Column:
 
 def rms(samples: Column) -> Column:
     """Root mean square of an array of floats."""
-    return F.sqrt(F.aggregate(samples, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")) / F.size(samples))
+    total = F.aggregate(samples, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return F.sqrt(F.try_divide(total, F.size(samples)))
 
 
 def frame_snr(samples: Column, frame: int) -> Column:

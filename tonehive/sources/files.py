@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = None, null_value: str | None = None) -> DataFrame:
     """UTF-8 CSV with a header; cells may hold line ends and doubled quotes. Without a schema all are strings.
 
-    An empty cell is an empty string unless `null_value` says otherwise; surplus cells are dropped.
+    An empty or missing cell is an empty string unless `null_value` is given; surplus cells are dropped.
     """
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8").option("emptyValue", "")
-    reader = reader.option("nullValue", null_value) if null_value is not None else reader.option("nullValue", "\u0000")
-    return (reader.schema(schema) if schema else reader).csv(path)
+    reader = reader.option("nullValue", null_value) if null_value is not None else reader
+    df = (reader.schema(schema) if schema else reader).csv(path)
+    return df.na.fill("") if null_value is None else df
 
 
 def write_csv(df: DataFrame, path: str, by: str | None = None) -> None:

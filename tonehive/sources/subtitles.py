@@ -28,7 +28,7 @@ def parse(files: DataFrame, content: str = "value", media: str = "media") -> Dat
 
 
 def read_srt(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).text(path).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("media"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("media"), "value")
     return parse(files)
 
 
