@@ -96,5 +96,56 @@ FROM digests WHERE found IS DISTINCT FROM expected GROUP BY page_id, expected, f
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: All pairs of distinct texts that share a shingle, and the closure of their links.
+OP3_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT rid, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT rid, count(*) AS n FROM s GROUP BY rid
+), pairs AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.rid <> b.rid GROUP BY a.rid, b.rid
+), links AS (
+  SELECT x, y FROM pairs JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * k >= 85 * (a.n + b.n - k)
+), reach AS (
+  SELECT rid AS a, rid AS b FROM d
+  UNION
+  SELECT reach.a, links.y FROM reach JOIN links ON links.x = reach.b
+), least AS (
+  SELECT a, min(e.doc_id) AS component_id FROM reach JOIN d e ON e.rid = reach.b GROUP BY a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, component_id IS NOT DISTINCT FROM d.doc_id AS kept
+FROM d LEFT JOIN n USING (rid) JOIN least ON least.a = d.rid
+"""
+
+#: Windows of the items, joined with the windows of the documents of the same lengths.
+OP9_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win
+  FROM (SELECT item_id, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT rid, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win
+  FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)
+), hit AS (
+  SELECT rid, i, k, item_id FROM dw JOIN bw USING (k, win)
+), words AS (
+  SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM hit) GROUP BY rid
+), items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY rid
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_merkle_fixity": OP1_SQL}
+    return {"op1_warc_merkle_fixity": OP1_SQL, "op3_minhash_near_dedup": OP3_SQL, "op9_benchmark_decontamination": OP9_SQL}
