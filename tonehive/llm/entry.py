@@ -147,5 +147,72 @@ FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
 
 
+#: The base patterns as the contract has them, each kind's test, and the words near each span.
+_PII_KINDS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "TRUE"),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(m, '.'), lambda x: len(ltrim(x, '0')) > 3 OR TRY_CAST(x AS HUGEINT) > 255)) = 0"),
+    "card": (
+        r"[0-9]([\x20-]?[0-9])+",
+        "len(g) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, len(g) + 1), lambda i: CASE WHEN (len(g) - i) % 2 = 0 THEN CAST(g[i] AS INT) WHEN CAST(g[i] AS INT) > 4 THEN 2 * CAST(g[i] AS INT) - 9 ELSE 2 * CAST(g[i] AS INT) END)) % 10 = 0",
+    ),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "len(g) BETWEEN 10 AND 15"),
+    "iban": (
+        r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b",
+        "len(replace(m, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform(string_split(substring(replace(m, ' ', ''), 5) || substring(replace(m, ' ', ''), 1, 4), ''), lambda c: CASE WHEN c BETWEEN 'A' AND 'Z' THEN ascii(c) - 55 ELSE ascii(c) - 48 END)), lambda a, v: CASE WHEN v > 9 THEN (a * 100 + v) % 97 ELSE (a * 10 + v) % 97 END) = 1",
+    ),
+}
+
+
+def _op8_sql() -> str:
+    found = " UNION ALL ".join(
+        f"SELECT rid, {k} AS kind, '{name}' AS name, text, s, m, {pii.BASE_SCORE[name]} AS base, '{pii.CONTEXT[name][0]}' AS good, '{pii.CONTEXT[name][1]}' AS bad "
+        f"FROM (SELECT rid, text, ms[i] AS m, regexp_replace(ms[i], '[^0-9]', '', 'g') AS g, "
+        f"list_sum(list_transform(ps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s "
+        f"FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT rid, text, regexp_extract_all(text, '{pattern}') AS ms, regexp_split_to_array(text, '{pattern}') AS ps FROM d))) WHERE {valid}"
+        for k, (name, (pattern, valid)) in enumerate(_PII_KINDS.items())
+    )
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({found}),
+z AS (
+  SELECT *, name || ':' || CAST(s AS BIGINT) || ':' || CAST(s + length(m) AS BIGINT) AS span,
+         lower(substring(text, CAST(greatest(s - {pii.NEAR}, 0) + 1 AS BIGINT), CAST(least(s, {pii.NEAR}) AS BIGINT)) || ' ' || substring(text, CAST(s + length(m) + 1 AS BIGINT), {pii.NEAR})) AS near
+  FROM f
+), scored AS (
+  SELECT *, round(least(base + CASE WHEN regexp_matches(near, '(^|[^\p{{L}}])(?:' || good || ')([^\p{{L}}]|$)') THEN 0.1 ELSE 0.0 END
+                              - CASE WHEN regexp_matches(near, '(^|[^\p{{L}}])(?:' || bad || ')([^\p{{L}}]|$)') THEN 0.3 ELSE 0.0 END, 1.0), 2) AS score FROM z
+), g AS (
+  SELECT rid, {", ".join(f"count(*) FILTER (WHERE name = '{n}') AS n_{n}" for n in _PII_KINDS)},
+         string_agg(span, ',' ORDER BY s, kind) AS spans, string_agg(span, ',' ORDER BY s, kind) FILTER (WHERE name <> 'iban') AS base_spans,
+         string_agg(CAST(CAST(score AS DOUBLE) AS VARCHAR), ',' ORDER BY s, kind) AS scores
+  FROM scored GROUP BY rid
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{n}, 0) AS n_{n}" for n in _PII_KINDS)}, sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+FROM d LEFT JOIN g USING (rid)
+"""
+
+
+#: The exact cosine of all pairs, and the closure of their links.
+OP4_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+), u AS (
+  SELECT rid, x, sqrt(list_sum(list_transform(x, lambda a: a * a))) AS n FROM v
+  WHERE len(x) > 0 AND len(list_filter(x, lambda a: a IS NULL OR NOT isfinite(a))) = 0
+), links AS (
+  SELECT a.rid AS x, b.rid AS y FROM u a JOIN u b ON a.rid <> b.rid AND len(a.x) = len(b.x) AND a.n > 0 AND b.n > 0
+  WHERE list_dot_product(a.x, b.x) / (a.n * b.n) >= 0.9
+), reach AS (
+  SELECT rid AS a, rid AS b FROM v
+  UNION
+  SELECT reach.a, links.y FROM reach JOIN links ON links.x = reach.b
+), least AS (
+  SELECT a, min(e.vec_id) AS component_id FROM reach JOIN v e ON e.rid = reach.b GROUP BY a
+)
+SELECT v.vec_id, coalesce(k, 0) AS n_links, component_id, component_id IS NOT DISTINCT FROM v.vec_id AS kept
+FROM v JOIN least ON least.a = v.rid LEFT JOIN (SELECT x, count(*) AS k FROM links GROUP BY x) c ON c.x = v.rid
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_merkle_fixity": OP1_SQL, "op3_minhash_near_dedup": OP3_SQL, "op9_benchmark_decontamination": OP9_SQL}
+    return {"op4_embedding_near_dedup": OP4_SQL, "op8_pii": _op8_sql(), "op1_warc_merkle_fixity": OP1_SQL, "op3_minhash_near_dedup": OP3_SQL, "op9_benchmark_decontamination": OP9_SQL}
