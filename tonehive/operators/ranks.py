@@ -1,29 +1,48 @@
-"""Global and grouped ordinals that do not gather a table in one task."""
+"""Ordinals, global and in groups, that do not gather a table or a large group in one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
+BUCKETS = 4096
 
-def global_rank(df: DataFrame, order: Column, name: str = "rn", bucket: Column | None = None) -> DataFrame:
-    """`df` with the 1-based rank of every row by `order`.
+
+def even_buckets(df: DataFrame, column: str) -> Column:
+    """Numbers that follow the order of a column: even steps from least to greatest, or a text's first characters."""
+    if not isinstance(df.schema[column].dataType, NumericType):
+        return F.substring(F.col(column).cast("string"), 1, 3)
+    ends = df.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")).first()
+    width = ((ends.hi or 0.0) - (ends.lo or 0.0)) or 1.0
+    return F.floor((F.col(column).cast("double") - F.lit(ends.lo or 0.0)) / F.lit(width) * (BUCKETS - 1))
+
+
+def rank(df: DataFrame, order: Column | list[Column], name: str = "rn", bucket: Column | None = None, within: list[str] | None = None) -> DataFrame:
+    """`df` with the 1-based rank of every row by `order`, among all or `within` equal columns.
 
     Rows are ranked inside buckets that follow the order, and a bucket begins after the counts of
     those before it; only the counts, one for each bucket, meet in one task. `bucket` must follow the
     order and have few values of about equal size; for a text key of hexadecimal digits the first
     three are one, which is the default: 4096 buckets whatever the size of the table.
     """
-    b = F.substring(order.cast("string"), 1, 3) if bucket is None else bucket
-    rows = df.withColumn("_b", b).withColumn("_o", order)
-    counts = rows.groupBy("_b").agg(F.count("*").alias("_n"))
-    before = counts.select(F.col("_b").alias("_b0"), F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inside = rows.withColumn("_i", F.row_number().over(Window.partitionBy("_b").orderBy("_o")))
-    ranked = inside.join(F.broadcast(before), F.col("_b").eqNullSafe(F.col("_b0")))  # a row for each bucket
-    return ranked.withColumn(name, (F.col("_before") + F.col("_i")).cast("long")).drop("_b", "_b0", "_o", "_i", "_before")
-
-
-def shards(df: DataFrame, by: str | list[str], order: str | list[str], size: int = 500) -> DataFrame:
-    """`df` with shard: the 0-based ordinal within `by`, divided by `size`."""
-    by, order = [by] if isinstance(by, str) else by, [order] if isinstance(order, str) else order
-    return df.withColumn("shard", F.floor((F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1) / size).cast("long"))
+    order = order if isinstance(order, list) else [order]
+    within = within or []
+    ranked = df.withColumn("_b", F.substring(order[0].cast("string"), 1, 3) if bucket is None else bucket)
+    ranked = ranked.withColumn("_i", F.row_number().over(Window.partitionBy(*within, "_b").orderBy(*order)))
+    counts = ranked.groupBy(*within, "_b").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*within).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*within, "_b"]
+    before = counts.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    out = ranked.join(before, same)  # small, but of unknown size where there are many groups: Spark decides
+    return out.withColumn(name, (F.col("_before") + F.col("_i")).cast("long")).drop("_b", "_i", "_before", *(f"_k{i}" for i in range(len(keys))))
+
+
+def shards(df: DataFrame, by: str | list[str], order: str, size: int = 500) -> DataFrame:
+    """`df` with shard: the 0-based ordinal within `by` in the order of a column, divided by `size`."""
+    by = [by] if isinstance(by, str) else by
+    ranked = rank(df, F.col(order), "_rn", even_buckets(df, order), by)
+    return ranked.withColumn("shard", F.floor((F.col("_rn") - 1) / size).cast("long")).drop("_rn")

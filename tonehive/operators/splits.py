@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonehive.operators.ranks import global_rank
+from tonehive.operators.ranks import rank
 
 SPLITS = ("train", "validation", "test")
 
@@ -15,15 +15,15 @@ def draw(seed: int, ident: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), ident.cast("string")))
 
 
-def split_of(rank: Column, n: Column, val: float, test: float) -> Column:
-    """Ranks up to floor(n * val) are validation, as many as floor(n * test) test, all others train."""
+def split_of(place: Column, n: Column, val: float, test: float) -> Column:
+    """Places up to floor(n * val) are validation, as many as floor(n * test) test, all others train."""
     v, t = F.floor(n * F.lit(val)), F.floor(n * F.lit(test))
-    return F.when(rank <= v, "validation").when(rank <= v + t, "test").otherwise("train")
+    return F.when(place <= v, "validation").when(place <= v + t, "test").otherwise("train")
 
 
 def random_split(df: DataFrame, ident: str, seed: int = 42, val: float = 0.05, test: float = 0.05) -> DataFrame:
     """`df` with split, by the rank of each row's key among all."""
-    ranked = global_rank(df, draw(seed, F.col(ident)), "_rn")
+    ranked = rank(df, draw(seed, F.col(ident)), "_rn")
     total = df.groupBy().agg(F.count("*").alias("_n"))
     return ranked.crossJoin(F.broadcast(total)).withColumn("split", split_of(F.col("_rn"), F.col("_n"), val, test)).drop("_rn", "_n")
 
@@ -36,18 +36,19 @@ def speaker_split(df: DataFrame, speaker: str, seed: int = 42, val: float = 0.05
 
 def stratified_split(df: DataFrame, ident: str, duration: str, seed: int = 42, val: float = 0.05, test: float = 0.05, strata: int = 5) -> DataFrame:
     """`df` with stratum (1 to `strata` of equal size by duration) and split, drawn inside each."""
-    # Position by duration; ties by id. Buckets of the leading digits keep their order.
-    n = F.count("*").over(Window.partitionBy("stratum"))
+    # Position by duration, ties by id, in buckets of a second.
     total = df.groupBy().agg(F.count("*").alias("_n"))
     bucket = F.least(F.greatest(F.floor(F.coalesce(F.col(duration), F.lit(-1.0))).cast("long"), F.lit(-1)), F.lit(100_000))
-    placed = global_rank(df, F.struct(F.col(duration), F.col(ident)), "_rn", bucket).crossJoin(F.broadcast(total))
+    placed = rank(df, [F.col(duration), F.col(ident)], "_rn", bucket).crossJoin(F.broadcast(total))
     # ntile: the first n % strata groups have one row more
     small, more = F.floor(F.col("_n") / strata), F.col("_n") % strata
     edge = more * (small + 1)
     stratum = F.when(F.col("_rn") <= edge, F.floor((F.col("_rn") - 1) / (small + 1)) + 1).otherwise(more + F.floor((F.col("_rn") - 1 - edge) / F.greatest(small, F.lit(1))) + 1)
     tiled = placed.withColumn("stratum", stratum.cast("int")).drop("_rn", "_n")
-    rank = F.row_number().over(Window.partitionBy("stratum").orderBy(draw(seed, F.col(ident))))
-    return tiled.withColumn("split", split_of(rank, n, val, test))
+    drawn = rank(tiled, draw(seed, F.col(ident)), "_rn", within=["stratum"])
+    sizes = tiled.groupBy(F.col("stratum").alias("_s")).agg(F.count("*").alias("_n"))
+    both = drawn.join(F.broadcast(sizes), F.col("stratum") == F.col("_s"))  # a row for each stratum
+    return both.withColumn("split", split_of(F.col("_rn"), F.col("_n"), val, test)).drop("_rn", "_n", "_s")
 
 
 def split_counts(df: DataFrame, zero_fill: bool = True) -> DataFrame:

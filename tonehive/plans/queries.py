@@ -66,7 +66,7 @@ def add_derived_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT md5(doc_id || ':' || source) AS k, doc_id, row_number() OVER (ORDER BY md5(doc_id || ':' || source)) - 1 AS ordinal FROM documents")
 def global_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), "source")).alias("k"), "doc_id")
-    return ranks.global_rank(docs, F.col("k")).select("k", "doc_id", (F.col("rn") - 1).alias("ordinal"))
+    return ranks.rank(docs, F.col("k")).select("k", "doc_id", (F.col("rn") - 1).alias("ordinal"))
 
 
 @_query("SELECT d.doc_id, d.source, d.lang, l.quality AS grade FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
