@@ -222,7 +222,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         blocks = in_block_pairs(members, "_g", "tk", size, block)
         more = cut(by_group(blocks, ["_g", "_p", "_q"], _links_in_block(percent, side, agree), "tk binary, c binary").distinct())
         if not more.isEmpty():
-            found = connected_components(links.unionByName(more), "tk", "c")
+            known = found.select(F.col("node").alias("tk"), F.col("component").alias("c"))
+            found = connected_components(known.unionByName(more), "tk", "c")
 
     joined = classes.select("tk", "first_id", "n").join(found.select(F.col("node").alias("tk"), "component"), "tk", "left").withColumn("component", F.coalesce("component", "tk"))
     least = joined.groupBy("component").agg(F.min("first_id").alias("least_id"))
