@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from tonehive.functions import romanise as r
 
 DEFAULT = r.Options()
+# Inputs and the outputs that they must have.
 CASES = [
     # basic
     ("phah", "phah", {}), ("Tâi-uân", "Tâi-oân", {}), ("tsuí", "chúi", {}), ("tshuí", "chhúi", {}), ("ing", "eng", {}), ("tsa", "cha", {}), ("ua", "oa", {}), ("ue", "oe", {}),
