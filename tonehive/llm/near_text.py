@@ -212,13 +212,14 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     open_ones = pairs.join(links, ["tk", "c"], "left_anti").select(F.col("c").alias("_g")).distinct()
     label = found.select(F.col("node").alias("tk"), F.col("component").alias("label"))
     members = pairs.select(F.col("c").alias("_g"), "tk").join(open_ones, "_g", "left_semi").join(brief, "tk").join(label, "tk", "left").withColumn("label", F.coalesce("label", "tk"))
-    size = members.groupBy("_g").agg(F.count("*").alias("_n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("_g", "_n")
+    # Written first, as are sizes below: so the join has two shuffled sides, and a frequent centre can be split.
+    size = cut(members.groupBy("_g").agg(F.count("*").alias("_n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("_g", "_n"))
     blocks = in_block_pairs(members, "_g", "tk", size, block)
     partners = cut(by_group(blocks, ["_g", "_p", "_q"], _with_partners(percent, side, agree), "_g binary, tk binary").distinct())
     if not partners.isEmpty():
         sets = _sets_needed(rows, classes, partners.select("tk").distinct())
         members = partners.join(brief, "tk").join(label, "tk", "left").withColumn("label", F.coalesce("label", "tk")).join(sets, "tk")
-        size = partners.groupBy("_g").agg(F.count("*").alias("_n"))
+        size = cut(partners.groupBy("_g").agg(F.count("*").alias("_n")))
         blocks = in_block_pairs(members, "_g", "tk", size, block)
         more = cut(by_group(blocks, ["_g", "_p", "_q"], _links_in_block(percent, side, agree), "tk binary, c binary").distinct())
         if not more.isEmpty():
