@@ -37,6 +37,8 @@ COUNT = 2
 WINDOW = 1.34
 COSINE = 0.9
 BLOCK = 256
+#: Pairs in a block pair up to which all their lists are compared in one step.
+SMALL = 4096
 
 
 def _matrix(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +85,7 @@ def _standout(m: int, s: int, count: int):
 
 
 def _in_block(count: int, window: float, cosine: float):
-    def run(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table | None:
         key, p, q = table["_g"][0].as_py(), table["_p"][0].as_py(), table["_q"][0].as_py()
         n = table.num_rows
         take = lambda name: table[name].combine_chunks()
@@ -91,7 +93,8 @@ def _in_block(count: int, window: float, cosine: float):
         if len(set(np.diff(at))) > 1:  # a key is of one width, but for a chance collision of numbers
             widths = np.diff(at)
             parts = [run(table.filter(pa.array(widths == w))) for w in np.unique(widths)]
-            return pa.concat_tables(parts)
+            parts = [t for t in parts if t is not None]
+            return pa.concat_tables(parts) if parts else None
         x = values.reshape(n, -1)
         x = x / np.abs(x).max(1, keepdims=True)
         x /= np.sqrt((x * x).sum(1, keepdims=True))
@@ -100,11 +103,14 @@ def _in_block(count: int, window: float, cosine: float):
         keys = take("keys").flatten().to_numpy().reshape(n, -1)
         mine, ck, times = table["_mine"].to_numpy(), table["ck"].to_numpy(), table["times"].to_numpy()
         rows, cols = np.flatnonzero(mine == p), np.flatnonzero(mine == q)
-        # Collisions over the lists of both, counted a list at a time.
-        hits = np.zeros((len(rows), len(cols)), np.int8)
-        for a in range(lists.shape[1]):
-            for b in range(lists.shape[1]):
-                hits += (lists[rows, None, a] == lists[None, cols, b]) & (np.abs(shown[rows, None, a] - shown[None, cols, b]) <= window)
+        # Collisions over the lists of both: at once in a small group, else a list at a time.
+        if len(rows) * len(cols) <= SMALL:
+            hits = ((lists[rows][:, None, :, None] == lists[cols][None, :, None, :]) & (np.abs(shown[rows][:, None, :, None] - shown[cols][None, :, None, :]) <= window)).sum((2, 3))
+        else:
+            hits = np.zeros((len(rows), len(cols)), np.int8)
+            for a in range(lists.shape[1]):
+                for b in range(lists.shape[1]):
+                    hits += (lists[rows, None, a] == lists[None, cols, b]) & (np.abs(shown[rows, None, a] - shown[None, cols, b]) <= window)
         maybe = hits >= count
         maybe &= ck[rows, None] < ck[None, cols] if p == q else np.ones((1, 1), bool)
         i, j = np.nonzero(maybe)
@@ -112,6 +118,8 @@ def _in_block(count: int, window: float, cosine: float):
         if len(i):
             close = np.einsum("ij,ij->i", x[i], x[j]) >= cosine
             i, j = i[close], j[close]
+        if not len(i):
+            return None
         if len(i):
             # The pair counts here only if no smaller key is common to both.
             smaller = np.zeros(len(i), bool)
