@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonehive.functions.romanise import Options, convert
 from tonehive.functions.text import strip, with_suffix
 
 
@@ -65,3 +66,8 @@ def merge_replacing(left: DataFrame, right: DataFrame, key: str, old: str, new:
 def merge_translations(segments: DataFrame, translations: DataFrame, on: str | list[str], text: str = "text", translated: str = "translated") -> DataFrame:
     """Segments with the translated text where there is one."""
     return segments.join(translations, on, "left").withColumn(text, F.coalesce(translated, text)).drop(translated)
+
+
+def add_romanised(df: DataFrame, source: str = "lomaji", target: str = "POJ", options: Options = Options()) -> DataFrame:
+    """`df` with `target` added or overwritten by the conversion of `source`; empty where the table lacks it."""
+    return df.withColumn(target, convert(column_or(df, source), options))
