@@ -129,6 +129,15 @@ def test_quality(tables):
     assert np.mean(clean) >= 0.99 and np.mean(poor) <= 0.05
 
 
+def test_toxic_texts_of_each_language_are_rejected(spark):
+    """A language with few of the toxic labels (24 in Spanish) has its marks too."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.quality_report(docs, labels).join(labels.where("quality = 1"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    for lang in ("de", "en", "es", "fr"):
+        assert np.mean([r.kept for r in got if r.toxic == 1 and r.lang == lang]) <= 0.25
+        assert np.mean([r.kept for r in got if r.toxic == 0 and r.lang == lang]) >= 0.99
+
+
 def test_quality_and_mixing_odd(spark, odd_docs, tables):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, None), (7, 0, 0), (None, 1, 0), (8, None, 1), (99, 1, 1)], "doc_id long, quality int, toxic int")
     assert quality.quality_report(odd_docs, labels).count() == odd_docs.count()

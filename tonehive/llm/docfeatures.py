@@ -11,17 +11,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonehive.llm.store import cut
-from tonehive.llm.textcore import ALPHANUMERIC, SPACE_SEPARATED, Words, buffers, mix, pieces
+from tonehive.llm.textcore import ALPHANUMERIC, SPACE_SEPARATED, Words, buffers, each_words, mix, pieces
 
 #: Labelled rows that a classifier is fitted on, at most (in expectation).
 SAMPLE_ROWS = 20_000
-#: Words kept as marks of a class, at most.
-LEXICON_WORDS = 2_000
-#: A mark occurs in at least this share of a class's texts and this many of them ...
-LEXICON_SHARE, LEXICON_TEXTS = 0.08, 8
-#: ... and is this many times as frequent there as elsewhere.
-LEXICON_RATIO = 20.0
-NAMES = ["symbols", "upper", "digits", "pipes", "repeats", "distinct", "word_bytes", "log_words", "marks", "mark_rate"]
+#: Marks kept of a class, at most, those with the most evidence (none is left out before that bound).
+LEXICON_MARKS = 50_000
+#: A mark is in at least this many texts of its class ...
+LEXICON_TEXTS = 5
+#: ... is at least this many times as frequent there as elsewhere ...
+LEXICON_RATIO = 8.0
+#: ... and so unevenly spread that among all candidates exp(-LEXICON_SURE) marks are expected by chance.
+LEXICON_SURE = 4.0
+#: Candidates are words, their first START bytes and the runs of GRAM bytes in them, each once, twice or up to TIMES times in a text.
+START, GRAM, TIMES = 5, 6, 3
+#: Log ratios beyond these, of all marks of a text and of its strongest, tell no more: a language with
+#: few marks is not outweighed by one with many.
+ENOUGH, STRONG = 8.0, 3.0
+#: Marks are also summed by hash in so many numbers of their own, so that the fit can weigh rare ones by themselves.
+BUCKETS = 128
+NAMES = ["symbols", "upper", "digits", "pipes", "repeats", "distinct", "word_bytes", "log_words"]
 
 _CLASSES = np.zeros((4, 256), bool)
 _CLASSES[0, [ord(c) for c in "#$%&*@^~<>=+_{}[]\\/|!"]] = True
@@ -30,10 +39,74 @@ _CLASSES[2, ord("0") : ord("9") + 1] = True
 _CLASSES[3, ord("|")] = True
 
 
-def features(column: pa.Array, lexicon: np.ndarray) -> np.ndarray:
+def _grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of every word, word start and run of GRAM bytes of a word."""
+    raw = np.concatenate([words.bytes, np.zeros(GRAM, np.uint8)]).astype(np.uint64)
+    size = words.end - words.start
+    packed = np.zeros(len(words.bytes), np.uint64)
+    for k in range(GRAM):
+        packed |= raw[k : k + len(packed)] << np.uint64(8 * k)
+    start = packed[words.start] & (np.uint64(1) << (8 * np.minimum(size, START)).astype(np.uint64)) - np.uint64(1)
+    count = np.maximum(size - GRAM + 1, 0)
+    at = np.repeat(words.start - np.cumsum(count) + count, count) + np.arange(count.sum())
+    hashes = np.concatenate([mix(words.hash), mix(start | np.uint64(1 << 62)), mix(packed[at] | np.uint64(1 << 63))])
+    return np.concatenate([words.text, words.text, np.repeat(words.text, count)]), hashes
+
+
+def _counted(text: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, times) of each distinct pair, in order."""
+    order = np.lexsort((hashes, text))
+    text, hashes = text[order], hashes[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
+    at = np.flatnonzero(new)
+    return text[at], hashes[at], np.diff(np.append(at, len(hashes)))
+
+
+@dataclass(frozen=True)
+class Lexicon:
+    """Sorted hashes of marks, and for each of them, each class and 1 to TIMES occurrences the weight in a text."""
+
+    hashes: np.ndarray
+    weights: np.ndarray
+
+    @staticmethod
+    def of(marks: list[tuple[int, int, int, float]], classes: int) -> Lexicon:
+        """From (hash as a signed number, class, times, weight)."""
+        signed = np.array([m[0] for m in marks], np.int64)
+        hashes, at = np.unique(signed.view(np.uint64), return_inverse=True)
+        weights = np.zeros((len(hashes), classes, TIMES))
+        for i, (_, c, times, weight) in zip(at, marks, strict=True):
+            weights[i, c, times - 1] = weight
+        return Lexicon(hashes, weights)
+
+    def found(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A row for each text: for each class, the sum and the greatest of the weights of the marks in it; and sums by bucket."""
+        out, top = np.zeros((2, words.texts, self.weights.shape[1]))
+        by_hash = np.zeros((words.texts, BUCKETS))
+        if len(self.hashes) and len(words.hash):
+            text, hashes = _grams(words)
+            k = np.zeros(1 << 20, bool)
+            low = np.uint64((1 << 20) - 1)
+            k[self.hashes & low] = True
+            near = np.flatnonzero(k[hashes & low])
+            text, hashes = text[near], hashes[near]
+            k = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            hit = self.hashes[k] == hashes
+            text, k, times = _counted(text[hit], k[hit])
+            for least in range(1, TIMES + 1):
+                reached = times >= least
+                weights = self.weights[k[reached], :, least - 1]
+                np.add.at(out, text[reached], weights)
+                np.maximum.at(top, text[reached], weights)
+                np.add.at(by_hash, (text[reached], (self.hashes[k[reached]] % np.uint64(BUCKETS)).astype(np.int64)), weights.sum(1))
+        return out, top, by_hash
+
+
+def features(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
     """A row of numbers for each text; of zeros for a null or wordless one."""
     data, offsets = buffers(column)
-    out = np.zeros((len(offsets) - 1, len(NAMES)))
+    out = np.zeros((len(offsets) - 1, len(NAMES) + 3 * lexicon.weights.shape[1] + BUCKETS))
     for i, j in pieces(offsets):
         raw, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         words = Words(raw, at, SPACE_SEPARATED)
@@ -50,13 +123,7 @@ def features(column: pa.Array, lexicon: np.ndarray) -> np.ndarray:
         fresh = np.ones(len(h), bool)
         fresh[order[1:]] = group[order[1:]] != group[order[:-1]]
         by_text = lambda x: np.bincount(text, x, minlength=j - i)
-        plain = Words(raw, at, ALPHANUMERIC)
-        marked = np.zeros(len(plain.hash), bool)
-        if len(lexicon) and len(plain.hash):
-            one = mix(plain.hash)  # as windows of one word are hashed
-            k = np.minimum(np.searchsorted(lexicon, one), len(lexicon) - 1)
-            marked = lexicon[k] == one
-        marks = np.bincount(plain.text, marked, minlength=j - i)
+        marks, strongest, by_hash = lexicon.found(Words(raw, at, ALPHANUMERIC))
         rows = np.stack(
             [
                 sums[0] / letters,
@@ -67,8 +134,10 @@ def features(column: pa.Array, lexicon: np.ndarray) -> np.ndarray:
                 np.where(n > 0, by_text(fresh) / count, 1.0),
                 letters / count,
                 np.log1p(n),
-                np.log1p(marks),
-                marks / count,
+                *np.log1p(marks).T,
+                *np.minimum(marks, ENOUGH).T,
+                *np.minimum(strongest, STRONG).T,
+                *by_hash.T,
             ],
             axis=1,
         )
@@ -83,7 +152,7 @@ class Linear:
 
     names: list
     prior: np.ndarray
-    lexicon: np.ndarray
+    lexicon: Lexicon
     centre: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
@@ -110,18 +179,44 @@ def bounded(labels: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:
     return known.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) < int((1 << 30) * limit / n))
 
 
-def _word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of each class hold a candidate `times` times or more."""
     for batch in batches:
-        labels = batch.column("y").to_pylist()
-        data, offsets = buffers(batch.column("text"))
-        for i, j in pieces(offsets):
-            words = Words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], ALPHANUMERIC)
-            hashes, bounds = words.sets(1)
+        labels = np.array(batch.column("y").to_pylist(), object)
+        for i, j, words in each_words(batch.column("text"), ALPHANUMERIC):
+            text, hashes, times = _counted(*_grams(words))
             for c in sorted(set(labels[i:j])):
-                own = [hashes[bounds[k - i] : bounds[k - i + 1]] for k in range(i, j) if labels[k] == c]
-                own = np.concatenate(own) if own else np.zeros(0, np.uint64)
-                value, times = np.unique(own, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([c] * len(value), pa.string()), pa.array(value.view(np.int64)), pa.array(times.astype(np.int64))], ["y", "w", "k"])
+                own = labels[i:j][text] == c
+                for least in range(1, TIMES + 1):
+                    value, k = np.unique(hashes[own & (times >= least)], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([c] * len(value), pa.string()), pa.array(value.view(np.int64)), pa.array(np.full(len(value), least, np.int32)), pa.array(k.astype(np.int64))], ["y", "w", "times", "k"])
+
+
+def _lexicon(sample: DataFrame, total: dict[str, int]) -> Lexicon:
+    """Marks of every class of the sample (text, y).
+
+    Support is a number of texts and not a share of the class, so that the marks of one of many
+    languages in a class count as much as those of a language that most of the class is in.
+    """
+    names, n = sorted(total), float(sum(total.values()))
+    sizes = sample.sparkSession.createDataFrame([(y, float(k)) for y, k in total.items()], "y string, size double")
+    counted = cut(sample.mapInArrow(_gram_counts, "y string, w long, times int, k long").groupBy("y", "w", "times").agg(F.sum("k").alias("k")))
+    everywhere = cut(counted.groupBy("w", "times").agg(F.sum("k").alias("all")).where(F.col("all") >= LEXICON_TEXTS))
+    tested = everywhere.count() * len(names)
+    frequent = counted.where(F.col("k") >= LEXICON_TEXTS).join(everywhere, ["w", "times"]).join(F.broadcast(sizes), "y")
+    rate = lambda k, size: (k + 0.5) / (size + 1.0)
+    share, chance = F.col("k") / F.col("all"), F.col("size") / n
+    ratio: Column = rate(F.col("k"), F.col("size")) / rate(F.col("all") - F.col("k"), F.lit(n) - F.col("size"))
+    rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - chance))).otherwise(0.0)
+    # Chernoff's bound on the chance of so many of the class among the texts that hold the candidate.
+    evidence = F.col("all") * (share * F.log(share / chance) + rest)
+    marks = frequent.where((F.col("size") < n) & (share > chance)).withColumn("ratio", ratio).withColumn("evidence", evidence)
+    marks = marks.where((F.col("ratio") >= LEXICON_RATIO) & (F.col("evidence") >= LEXICON_SURE + float(np.log(max(tested, 1)))))
+    found = []
+    for c, y in enumerate(names):
+        best = marks.where(F.col("y") == y).orderBy(F.desc("evidence"), "w", "times").limit(LEXICON_MARKS)
+        found += [(r.w, c, r.times, float(np.log(r.ratio))) for r in best.select("w", "times", "ratio").collect()]
+    return Lexicon.of(found, len(names))
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, roun
 
     About `sample_rows` labels are used at most, and of the texts one of each group with the same
     least shingle hash, so that many copies of a text do not pass for many texts. What comes to
-    the driver is a row of numbers for each of them and at most LEXICON_WORDS words.
+    the driver is a row of numbers for each of them and at most LEXICON_MARKS marks of a class.
     """
     y = bounded(labels.select("doc_id", F.col("y").cast("string").alias("y")), sample_rows)
     rows = docs.where("text is not null").join(F.broadcast(y), "doc_id").select("text", "y")
@@ -150,24 +245,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, roun
     if not total:
         return None
     names = sorted(total)
-    n = sum(total.values())
-    sizes = sample.sparkSession.createDataFrame([(y, float(k)) for y, k in total.items()], "y string, size double")
-    counted = sample.mapInArrow(_word_sets, "y string, w long, k long").groupBy("y", "w").agg(F.sum("k").alias("k"))
-    everywhere = counted.groupBy("w").agg(F.sum("k").alias("all"))
-    frequent = counted.join(F.broadcast(sizes), "y").where((F.col("k") >= LEXICON_TEXTS) & (F.col("k") >= LEXICON_SHARE * F.col("size")))
-    rate = lambda k, size: (k + 0.5) / (size + 1.0)
-    ratio: Column = rate(F.col("k"), F.col("size")) / rate(F.col("all") - F.col("k"), F.lit(float(n)) - F.col("size"))
-    marks = frequent.join(everywhere, "w").withColumn("ratio", ratio).where(F.col("ratio") >= LEXICON_RATIO).orderBy(F.desc("ratio"), "w").limit(LEXICON_WORDS)
-    lexicon = np.array(sorted(int(r.w) & 0xFFFFFFFFFFFFFFFF for r in marks.select("w").collect()), np.uint64)
+    lexicon = _lexicon(sample, total)
+    width = len(NAMES) + 3 * len(names) + BUCKETS
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = features(batch.column("text"), lexicon)
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(NAMES)), pa.array(x.ravel()))
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * width), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("y"), flat], ["y", "x"])
 
     got = sample.mapInArrow(numbers, "y string, x array<double>").toArrow()
-    x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, len(NAMES))
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, width)
     y = np.searchsorted(names, np.array(got["y"].to_pylist()))
     order = np.lexsort((*x.T, y))  # the same fit whatever the order of arrival
     x, y = x[order], y[order]
