@@ -174,6 +174,18 @@ def test_rates_against_numpy(spark):
     assert np.allclose(goal, want) and np.allclose(got, want, rtol=1e-3) and np.allclose((p * t[:, None]).T @ r, want, rtol=1e-3)
 
 
+def test_pipeline_takes_near_copies_from_four_fifths(spark):
+    """A text and its beginning: 82 and 78 of 100 shingles are common."""
+    import corpus_pipeline
+
+    rows = []
+    for k in range(4):
+        words = [f"t{k}w{i}" for i in range(104)]
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(words[: 86 if k else 82]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()) == [0, 1, 10, 20, 30]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
