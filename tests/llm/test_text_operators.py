@@ -225,6 +225,18 @@ def test_sentence_spans(spark, duck):
     assert passage in got[9000].text and passage not in got[9001].text and "And 1 ends here, too." in got[9001].text
 
 
+def test_spans_at_any_offset(spark):
+    """52 words without a sentence end, after 0 to 24 words of other text in the same sentence."""
+    passage = [f"p{i}" for i in range(52)]
+    rows = [(k, " ".join([f"a{k}_{i}" for i in range(k)] + passage + [f"z{k}_{i}" for i in range(30)])) for k in range(25)]
+    got = {r.doc_id: r.text for r in sentences.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), window=sentences.WINDOW).collect()}
+    assert got[0] == rows[0][1]
+    for k in range(1, 25):
+        left = got[k].split()
+        assert len(set(left) & set(passage)) <= 4 * sentences.WINDOW
+        assert [w for w in left if w not in passage] == [w for w in rows[k][1].split() if w not in passage]
+
+
 def test_sentence_spans_odd(spark, odd_docs):
     got = [(r.doc_id, r.n_removed, r.text) for r in sentences.remove_repeated_spans(odd_docs).collect()]
     assert len(got) == odd_docs.count()

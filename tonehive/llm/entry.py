@@ -50,7 +50,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentences.remove_repeated_spans(_table(spark, sf_dir, "documents"))
+    return sentences.remove_repeated_spans(_table(spark, sf_dir, "documents"), window=sentences.WINDOW)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,6 +6,12 @@ shortest that begins at a unit, and the shortest that ends at one. Spans are has
 and joined globally; units covered by a span that occurs earlier elsewhere are removed. A repeated
 passage of more than unit_words * (units - 1) words, cut at sentence ends, always holds a span,
 and its own spans cover it from end to end.
+
+With a `window` (op10 has one) texts are cut at sentence ends and, in place of the fixed stride, before
+the word whose hash with the word before it is the least of some `window` neighbours. Whether a word
+is such a place hangs on less than `window` words on either side, and one of every `window` words is.
+So cuts line up whatever stands before a passage, and 6 * window words that are repeated always hold
+a span of three units, sentence ends or not; fewer than 2 * window words stay at an edge.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from tonehive.llm.textcore import SPACE_SEPARATED, Words, each_words, mix
 UNITS = 3
 UNIT_WORDS = 20
 LEAST_WORDS = 10
+WINDOW = 8
 
 _BASE = np.uint64(0xA24BAED4963EE407)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -30,10 +37,23 @@ _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
 
 
+def _least_of(words: Words, window: int) -> np.ndarray:
+    """Whether a word's hash, with the word before it, is the least of some `window` words of its text."""
+    n = len(words.hash)
+    before = np.concatenate([np.zeros(1, np.uint64), words.hash[:-1]])
+    before[1:][words.text[1:] != words.text[:-1]] = 0
+    h = mix(words.hash * _BASE + before)
+    out = np.zeros(n, bool)
+    if n >= window:
+        inside = np.flatnonzero(words.text[: n - window + 1] == words.text[window - 1 :])
+        out[inside + np.lib.stride_tricks.sliding_window_view(h, window)[inside].argmin(1)] = True
+    return out
+
+
 class Units:
     """Units of a run of texts: text number, first word and one past the last word of each."""
 
-    def __init__(self, words: Words, unit_words: int):
+    def __init__(self, words: Words, unit_words: int, window: int | None = None):
         self.words = words
         n = len(words.hash)
         if not n:
@@ -47,7 +67,7 @@ class Units:
         starts = np.concatenate([[True], ends[:-1]])
         at = np.arange(n)
         within = at - np.maximum.accumulate(np.where(starts, at, 0))
-        self.first = np.flatnonzero(within % unit_words == 0)
+        self.first = np.flatnonzero(within % unit_words == 0 if window is None else starts | _least_of(words, window))
         self.last = np.append(self.first[1:], n)
         self.text = words.text[self.first]
         self.bounds = np.searchsorted(self.text, np.arange(words.texts + 1))
@@ -78,11 +98,11 @@ class Units:
         return a, b, mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
 
 
-def _occurrences(units: int, unit_words: int, least_words: int):
+def _occurrences(units: int, unit_words: int, least_words: int, window: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, _, words in each_words(batch.column("text"), SPACE_SEPARATED):
-                cut_up = Units(words, unit_words)
+                cut_up = Units(words, unit_words, window)
                 a, b, h = cut_up.spans(units, least_words)
                 if not len(a):
                     continue
@@ -94,13 +114,13 @@ def _occurrences(units: int, unit_words: int, least_words: int):
     return run
 
 
-def _without(unit_words: int):
+def _without(unit_words: int, window: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = batch.column("spans")
             counts, removed, texts = [], [], []
             for i, j, words in each_words(batch.column("text"), SPACE_SEPARATED):
-                cut_up = Units(words, unit_words)
+                cut_up = Units(words, unit_words, window)
                 for t in range(i, j):
                     low, high = cut_up.bounds[t - i], cut_up.bounds[t - i + 1]
                     counts.append(int(high - low))
@@ -125,7 +145,7 @@ def _without(unit_words: int):
     return run
 
 
-def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", units: int = UNITS, unit_words: int = UNIT_WORDS, least_words: int = LEAST_WORDS) -> DataFrame:
+def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", units: int = UNITS, unit_words: int = UNIT_WORDS, least_words: int = LEAST_WORDS, window: int | None = None) -> DataFrame:
     """doc_id, n_units, n_removed and the text without the units that an earlier span covers.
 
     The first occurrence of a span is the one of the least id (nulls last), then of the earlier
@@ -136,12 +156,14 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     key: Column = F.xxhash64("id", "text")
-    seen = rows.where("text is not null").withColumn("rk", key).mapInArrow(_occurrences(units, unit_words, least_words), "h long, id long, rk long, a int, b int")
+    seen = rows.where("text is not null").withColumn("rk", key).mapInArrow(_occurrences(units, unit_words, least_words, window), "h long, id long, rk long, a int, b int")
     order = F.struct(F.col("id").isNull().alias("n"), "id", "rk", "a")
-    first = seen.groupBy("h").agg(F.min(order).alias("f"), F.max(order).alias("l")).where("f <> l").select("h", F.col("f.rk").alias("rk0"), F.col("f.a").alias("a0"))
-    # Written first: a join of two shuffled sides is one whose frequent keys Spark can split.
-    later = seen.join(cut(first), "h").where("rk <> rk0 or a <> a0")
+    # Written first, here and below: a join of two shuffled sides is one whose frequent keys Spark can split.
+    often = cut(seen.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"))
+    again = cut(seen.join(often, "h"))
+    first = again.groupBy("h").agg(F.min(order).alias("f"), F.max(order).alias("l")).where("f <> l").select("h", F.col("f.rk").alias("rk0"), F.col("f.a").alias("a0"))
+    later = again.join(cut(first), "h").where("rk <> rk0 or a <> a0")
     gone = later.groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     both = rows.withColumn("rk", key).join(gone, "rk", "left").select(F.col("id").alias("row"), "text", "spans")
-    out = both.mapInArrow(_without(unit_words), "row long, text string, n_units long, n_removed long")
+    out = both.mapInArrow(_without(unit_words, window), "row long, text string, n_units long, n_removed long")
     return out.select(F.col("row").alias("doc_id"), "n_units", "n_removed", "text")
