@@ -80,6 +80,19 @@ def test_repeated_runs_of_a_host(spark):
     assert html_main.extract_main(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_no_repeats(spark):
+    """Three copies without an article element keep their text; a line that two pages of a host share goes."""
+    article = "<div>" + " ".join(f"word{k}" for k in range(30)) + "</div>"
+    notice = "<div>This site shows the very same long line of words on every page it has</div>"
+    rows = [(i, f"http://copies.example/{i}", article) for i in range(3)]
+    rows += [(10 + i, f"http://two.example/{i}", notice + "<div>" + " ".join(f"own{i}_{k}" for k in range(12)) + "</div>") for i in range(2)]
+    rows += [(20 + i, f"http://near.example/{i}", f"<div>{' '.join(f'word{k}' for k in range(30))} copy{i}</div>") for i in range(3)]
+    got = {r.page_id: r.text for r in html_main.extract_main(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == " ".join(f"word{k}" for k in range(30)) for i in range(3))
+    assert all(got[10 + i] == " ".join(f"own{i}_{k}" for k in range(12)) for i in range(2))
+    assert all(got[20 + i].endswith(f"copy{i}") for i in range(3))
+
+
 def test_fixity_against_sql(spark, duck):
     want = sorted(map(str, duck.execute(entry.OP1_SQL).fetchall()))
     df = entry.op1_warc_merkle_fixity(spark, SF).select("page_id", "status", "expected", "found", "times")
