@@ -157,14 +157,16 @@ class Linear:
     scale: np.ndarray
     weights: np.ndarray
 
-    def logits(self, column: pa.Array) -> np.ndarray:
-        x = np.clip((features(column, self.lexicon) - self.centre) / self.scale, -8, 8)
-        return np.concatenate([x, np.ones((len(x), 1))], axis=1) @ self.weights
+    def judged(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(posteriors, words) of each text."""
+        found = features(column, self.lexicon)
+        x = np.clip((found - self.centre) / self.scale, -8, 8)
+        z = np.concatenate([x, np.ones((len(x), 1))], axis=1) @ self.weights
+        e = np.exp(z - z.max(1, keepdims=True))
+        return e / e.sum(1, keepdims=True), np.round(np.expm1(found[:, NAMES.index("log_words")]))
 
     def posteriors(self, column: pa.Array) -> np.ndarray:
-        z = self.logits(column)
-        e = np.exp(z - z.max(1, keepdims=True))
-        return e / e.sum(1, keepdims=True)
+        return self.judged(column)[0]
 
 
 def bounded(labels: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:

@@ -4,7 +4,8 @@ A linear classifier, fitted on labelled rows, gives each document's log-likeliho
 "good". The expected number of good documents of every host and of every path of a host is a
 grouped sum over all documents. A path's rate is shrunk towards its host's, a host's towards the
 global rate, each with a strength found by the method of moments, so that sparse sites stay near
-their parents. The posterior is the site's log-odds plus the document's log-likelihood ratio.
+their parents. A document is left out of the rates that it is judged by, so that its evidence counts
+once. The posterior is the site's log-odds plus the document's log-likelihood ratio.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from tonehive.llm.store import cut
 GOOD = "good"
 #: Bounds of the strength of shrinking, in documents.
 STRENGTH = (2.0, 1000.0)
-#: Evidence of texts of n words (those under SHORT characters) counts n / (n + FEW): a few words tell little.
-SHORT, FEW = 2000, 5
+#: Evidence of a text of n words counts n / (n + FEW): a few words tell little.
+FEW = 5
+#: Evidence of a null text.
+NO_TEXT = -20.0
 #: Posterior under which a document is rejected.
 LEAST = 0.2
 
@@ -44,18 +47,17 @@ def _evidence(model: Linear | None, text_col: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            inside = "row" in batch.schema.names
+            inside = "text" not in batch.schema.names
             text = batch.column("row").field(text_col) if inside else batch.column("text")
             llr = np.zeros(batch.num_rows)
             if model is not None and GOOD in model.names and len(model.names) > 1:
                 k = model.names.index(GOOD)
-                p = np.clip(model.posteriors(text)[:, k], 1e-6, 1 - 1e-6)
+                p, words = model.judged(text)
+                p = np.clip(p[:, k], 1e-6, 1 - 1e-6)
                 prior = np.clip(model.prior[k], 1e-6, 1 - 1e-6)
-                llr = np.log(p / (1 - p)) - np.log(prior / (1 - prior))
-                words = np.array([len(t.split()) if t is not None and len(t) < SHORT else SHORT for t in text.to_pylist()])
-                llr *= words / (words + FEW)
-                llr[~np.asarray(text.is_valid())] = -20.0
-            keep = [c for c in batch.schema.names if c != "text"]
+                llr = (np.log(p / (1 - p)) - np.log(prior / (1 - prior))) * words / (words + FEW)
+                llr[~np.asarray(text.is_valid())] = NO_TEXT
+            keep = ["row", "host", "path"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(llr)], [*keep, "llr"])
 
     return run
@@ -78,29 +80,36 @@ def _logit(p: Column) -> Column:
     return F.log(q / (1 - q))
 
 
-def with_posterior(docs: DataFrame, model: Linear | None, host: Column, path: Column, text_col: str = "text") -> DataFrame:
-    """row (struct of all columns of `docs`), llr, site (the site's rate) and posterior.
+def with_posterior(docs: DataFrame, model: Linear | None, host: Column, path: Column, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """row (struct of the columns `keep` of `docs`, by default all), llr, site (the site's rate) and posterior.
 
-    A null text counts as strong evidence against; an empty one is judged by its features. Null
-    hosts and paths are sites like any other.
+    Texts are read once: evidence is written beside the rows. A null text counts as strong evidence
+    against; an empty one has none and is judged by its site. Null hosts and paths are sites like
+    any other. A site of one document has its parent's rate.
     """
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), host.cast("string").alias("host"), path.cast("string").alias("path"), F.col(text_col).alias("text"))
-    scored = rows.select("host", "path", "text").mapInArrow(_evidence(model, text_col), "host string, path string, llr double")
+    keep = docs.columns if keep is None else keep
+    text = [] if text_col in keep else [F.col(f"`{text_col}`").alias("text")]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), host.cast("string").alias("host"), path.cast("string").alias("path"), *text)
+    kinds = rows.schema["row"].dataType.simpleString()
     prior = 0.5 if model is None or GOOD not in model.names else float(np.clip(model.prior[model.names.index(GOOD)], 1e-3, 1 - 1e-3))
     offset = float(np.log(prior / (1 - prior)))
-    expected = 1 / (1 + F.exp(-(F.col("llr") + offset)))
-    paths = cut(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(expected).alias("good")))
+    scored = cut(rows.mapInArrow(_evidence(model, text_col), f"row {kinds}, host string, path string, llr double"))
+    scored = scored.withColumn("own", 1 / (1 + F.exp(-(F.col("llr") + offset))))
+    paths = cut(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("own").alias("good")))
     whole = paths.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
     mean = whole.good / whole.n if whole.n else prior
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).withColumn("parent", F.lit(mean))
     k = _strength(hosts, "parent")
-    hosts = hosts.select(F.col("host").alias("h"), ((F.col("good") + k * mean) / (F.col("n") + k)).alias("parent"))
-    joined = cut(paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h"))
-    k = _strength(joined, "parent")
-    sites = cut(joined.select(F.col("host").alias("_h"), F.col("path").alias("_p"), ((F.col("good") + k * F.col("parent")) / (F.col("n") + k)).alias("site")))
-    kinds = rows.schema["row"].dataType.simpleString()
-    again = rows.select("row", "host", "path").mapInArrow(_evidence(model, text_col), f"row {kinds}, host string, path string, llr double")
-    out = again.join(sites, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
+    hosts = hosts.select(F.col("host").alias("h"), F.col("n").alias("host_n"), F.col("good").alias("host_good"), ((F.col("good") + k * mean) / (F.col("n") + k)).alias("parent"))
+    joined = cut(paths.join(cut(hosts), F.col("host").eqNullSafe(F.col("h"))).drop("h"))
+    j = _strength(joined, "parent")
+    sites = joined.select(F.col("host").alias("_h"), F.col("path").alias("_p"), "n", "good", "host_n", "host_good")
+    out = scored.join(sites, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
+    # The three rates without the document itself.
+    rest = (F.lit(whole.good or 0.0) - F.col("own")) / (whole.n - 1) if whole.n and whole.n > 1 else F.lit(prior)
+    parent = (F.col("host_good") - F.col("own") + k * rest) / (F.col("host_n") - 1 + k)
+    site = (F.col("good") - F.col("own") + j * parent) / (F.col("n") - 1 + j)
+    out = out.select("row", "llr", site.alias("site"))
     return out.select("row", "llr", "site", (1 / (1 + F.exp(-(_logit(F.col("site")) + F.col("llr"))))).alias("posterior"))
 
 
@@ -109,10 +118,11 @@ def quality_report(docs: DataFrame, labels: DataFrame, least: float = LEAST, sam
 
     The host is `source`, the path (source, lang). A document is kept if its posterior of being
     good (of quality and not toxic) is at least `least`. Without usable labels all evidence is 0
-    and everything with a text is judged alike. Repeated rows are judged alike.
+    and all are judged alike. Repeated rows are judged alike. Whole texts are read, however long.
+    Other columns, whatever their names, are not read. An empty table gives an empty result.
     """
     model = fit_on_labels(docs, labels, sample_rows)
-    scored = with_posterior(docs.select("doc_id", "text", "source", "lang"), model, F.col("source"), F.col("lang"))
+    scored = with_posterior(docs, model, F.col("source"), F.col("lang"), keep=["doc_id"])
     return scored.select(F.col("row.doc_id").alias("doc_id"), F.round("llr", 6).alias("evidence"), F.round("site", 6).alias("site_rate"), F.round("posterior", 6).alias("posterior"), (F.col("posterior") >= least).alias("kept"))
 
 
