@@ -9,8 +9,11 @@ from tonehive.llm.store import cut
 
 
 def _star(pairs: DataFrame) -> DataFrame:
-    """Every v of (u, v) is moved to the least node known to u. Minima combine before the shuffle."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+    """Every v of (u, v) is moved to the least node known to u. Minima combine before the shuffle.
+
+    They are written before the join, so that a node with very many edges can be split or sent to all.
+    """
+    least = cut(pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m")))
     return pairs.join(least, F.col("u") == F.col("k")).select("u", "v", "m")
 
 
@@ -25,7 +28,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     e = cut(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while not _settled(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = cut(_star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         stars = _star(large)
         small = stars.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(stars.select("u", F.col("m").alias("v")))
         e = cut(small.where("u <> v").distinct())

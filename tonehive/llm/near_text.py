@@ -170,13 +170,14 @@ def _classes(rows: DataFrame, side: int, rows_each: int) -> DataFrame:
 def _candidates(classes: DataFrame, side: int) -> DataFrame:
     """(tk, c): every class with the centre of each table bucket that it is in."""
     subs = classes.select("tk", F.posexplode("subs").alias("pos", "s"))
-    shared = subs.groupBy("s").agg(F.count("*").alias("times")).where("times > 1")
+    # Written first, here and below: so a join has two shuffled sides, and a frequent key can be split.
+    shared = cut(subs.groupBy("s").agg(F.count("*").alias("times")).where("times > 1"))
     own = subs.join(shared, "s").groupBy("tk").agg(F.collect_list(F.struct("pos", "s")).alias("own"), F.sum("times").alias("pop"))
     part = lambda low: F.transform(F.filter("own", lambda x: (x["pos"] >= low) & (x["pos"] < low + side)), lambda x: x["s"])
     own = own.select("tk", "pop", part(0).alias("a"), part(side).alias("b"))
     keys = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))
     keyed = cut(own.select("tk", "pop", F.explode(keys).alias("key")))
-    centre = keyed.groupBy("key").agg(F.max(F.struct("pop", "tk")).alias("m"), F.count("*").alias("k")).where("k > 1").select("key", F.col("m.tk").alias("c"))
+    centre = cut(keyed.groupBy("key").agg(F.max(F.struct("pop", "tk")).alias("m"), F.count("*").alias("k")).where("k > 1").select("key", F.col("m.tk").alias("c")))
     return cut(keyed.join(centre, "key").where("tk <> c").select("tk", "c").distinct())
 
 
@@ -209,10 +210,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     found = connected_components(links, "tk", "c")
 
     # What a centre left over: members of its buckets that no link joins to it yet.
-    open_ones = pairs.join(links, ["tk", "c"], "left_anti").select(F.col("c").alias("_g")).distinct()
+    open_ones = cut(pairs.join(links, ["tk", "c"], "left_anti").select(F.col("c").alias("_g")).distinct())
     label = found.select(F.col("node").alias("tk"), F.col("component").alias("label"))
     members = pairs.select(F.col("c").alias("_g"), "tk").join(open_ones, "_g", "left_semi").join(brief, "tk").join(label, "tk", "left").withColumn("label", F.coalesce("label", "tk"))
-    # Written first, as are sizes below: so the join has two shuffled sides, and a frequent centre can be split.
     size = cut(members.groupBy("_g").agg(F.count("*").alias("_n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("_g", "_n"))
     blocks = in_block_pairs(members, "_g", "tk", size, block)
     partners = cut(by_group(blocks, ["_g", "_p", "_q"], _with_partners(percent, side, agree), "_g binary, tk binary").distinct())
@@ -227,7 +227,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
             found = connected_components(known.unionByName(more), "tk", "c")
 
     joined = classes.select("tk", "first_id", "n").join(found.select(F.col("node").alias("tk"), "component"), "tk", "left").withColumn("component", F.coalesce("component", "tk"))
-    least = joined.groupBy("component").agg(F.min("first_id").alias("least_id"))
+    least = cut(joined.groupBy("component").agg(F.min("first_id").alias("least_id")))
     return cut(joined.join(least, "component"))
 
 
