@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import defaultdict
 
+import pytest
+
 from tonehive.llm import decontam, langid, near_text, pii, sentences
 
 
@@ -196,19 +198,32 @@ def units(t):
     return out
 
 
-def test_sentence_spans(spark, duck):
+def hashed_units(t):
+    """Cut at sentence ends and by hash, as the query does; the words between the cuts are compared by hand."""
+    import numpy as np
+
+    from tonehive.llm.textcore import SPACE_SEPARATED, Words
+
+    raw = np.frombuffer(t.encode(), np.uint8)
+    u = sentences.Units(Words(raw, np.array([0, len(raw)]), SPACE_SEPARATED), sentences.UNIT_WORDS, sentences.WINDOW)
+    found = list(re.finditer(r"[^\x20\t-\r]+", t))
+    return [found[a:b] for a, b in zip(u.first, u.last, strict=True)]
+
+
+@pytest.mark.parametrize(("cut_by", "window", "least_words"), [(units, None, 10), (hashed_units, sentences.WINDOW, sentences.LEAST_WORDS)])
+def test_sentence_spans(spark, duck, cut_by, window, least_words):
     docs = duck.execute("select doc_id, text from documents order by 1").fetchall()
     passage = " ".join(f"p{i}" for i in range(52)) + "."
     docs += [(9000 + k, f"Own {k} begins. {passage} And {k} ends here, too.") for k in range(3)]
     seen, gone, cut_up = set(), defaultdict(set), {}
     for i, t in docs:
-        u = cut_up[i] = units(t or "")
+        u = cut_up[i] = cut_by(t or "")
         n, runs = [len(x) for x in u], set()
         for a in range(len(u)):
             b, k = a + 2, a - 2
-            while b < len(u) and sum(n[a : b + 1]) < 10:
+            while b < len(u) and sum(n[a : b + 1]) < least_words:
                 b += 1
-            while k >= 0 and sum(n[k : a + 1]) < 10:
+            while k >= 0 and sum(n[k : a + 1]) < least_words:
                 k -= 1
             runs |= ({(a, b)} if b < len(u) else set()) | ({(k, a)} if k >= 0 else set())
         for a, b in sorted(runs):
@@ -216,18 +231,18 @@ def test_sentence_spans(spark, duck):
             if key in seen:
                 gone[i] |= set(range(a, b + 1))
             seen.add(key)
-    got = {r.doc_id: r for r in sentences.remove_repeated_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r for r in sentences.remove_repeated_spans(spark.createDataFrame(docs, "doc_id long, text string"), window=window, least_words=least_words).collect()}
     for i, t in docs:
         assert (got[i].n_units, got[i].n_removed) == (len(cut_up[i]), len(gone[i]))
         assert re.findall(r"[^\x20\t-\r]+", got[i].text) == [m[0] for k, x in enumerate(cut_up[i]) if k not in gone[i] for m in x]
         if not gone[i]:
             assert got[i].text == t
-    assert passage in got[9000].text and passage not in got[9001].text and "And 1 ends here, too." in got[9001].text
+    assert passage in got[9000].text and passage not in got[9001].text and "ends here, too." in got[9001].text
 
 
 def test_spans_at_any_offset(spark):
-    """52 words without a sentence end, after 0 to 24 words of other text in the same sentence."""
-    passage = [f"p{i}" for i in range(52)]
+    """51 words without a sentence end, after 0 to 24 words of other text in the same sentence."""
+    passage = [f"p{i}" for i in range(51)]
     rows = [(k, " ".join([f"a{k}_{i}" for i in range(k)] + passage + [f"z{k}_{i}" for i in range(30)])) for k in range(25)]
     got = {r.doc_id: r.text for r in sentences.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), window=sentences.WINDOW).collect()}
     assert got[0] == rows[0][1]

@@ -5,13 +5,16 @@ A span is a run of consecutive units of at least `units` units and `least_words`
 shortest that begins at a unit, and the shortest that ends at one. Spans are hashed word by word
 and joined globally; units covered by a span that occurs earlier elsewhere are removed. A repeated
 passage of more than unit_words * (units - 1) words, cut at sentence ends, always holds a span,
-and its own spans cover it from end to end.
+and its own spans cover it from end to end. Spans are the same if two independent 64-bit hashes of
+their words are: among 10 ** 12 spans the chance of one false match is under 10 ** -14.
 
 With a `window` (op10 has one) texts are cut at sentence ends and, in place of the fixed stride, before
 the word whose hash with the word before it is the least of some `window` neighbours. Whether a word
 is such a place hangs on less than `window` words on either side, and one of every `window` words is.
-So cuts line up whatever stands before a passage, and 6 * window words that are repeated always hold
-a span of three units, sentence ends or not; fewer than 2 * window words stay at an edge.
+So cuts line up whatever stands before a passage: of n repeated words at least n - 30 lie between
+cuts that line up, of 51 words a run of 21, sentence ends or not, which is three units and more than
+LEAST_WORDS; at most 2 * window - 1 words stay at an edge. Lines of fewer words than LEAST_WORDS that
+many texts have are no spans and stay.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from tonehive.llm.textcore import SPACE_SEPARATED, Words, each_words, mix
 
 UNITS = 3
 UNIT_WORDS = 20
-LEAST_WORDS = 10
+LEAST_WORDS = 20
 WINDOW = 8
 
 _BASE = np.uint64(0xA24BAED4963EE407)
@@ -72,12 +75,12 @@ class Units:
         self.text = words.text[self.first]
         self.bounds = np.searchsorted(self.text, np.arange(words.texts + 1))
 
-    def spans(self, units: int, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first unit, last unit, hash) of every span."""
+    def spans(self, units: int, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first unit, last unit, hash, second hash) of every span."""
         n = len(self.first)
         if n < units:
             z = np.zeros(0, np.int64)
-            return z, z, np.zeros(0, np.uint64)
+            return z, z, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         edge = np.append(self.first, self.last[-1])
         i = np.arange(n)
         j = np.maximum(np.searchsorted(edge, edge[:-1] + least_words, "left") - 1, i + units - 1)
@@ -91,11 +94,14 @@ class Units:
         m = len(self.words.hash)
         power, inverse = np.full(m, _BASE), np.full(m, _INVERSE)
         power[0] = inverse[0] = 1
-        total = np.zeros(m + 1, np.uint64)
-        np.cumsum(self.words.hash * np.multiply.accumulate(power), out=total[1:])
-        inverse = np.multiply.accumulate(inverse)
+        power, inverse = np.multiply.accumulate(power), np.multiply.accumulate(inverse)
         s, e = self.first[a], self.last[b]
-        return a, b, mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
+        hashes = []
+        for word in (self.words.hash, self.words.again()):
+            total = np.zeros(m + 1, np.uint64)
+            np.cumsum(word * power, out=total[1:])
+            hashes.append(mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64)))
+        return a, b, *hashes
 
 
 def _occurrences(units: int, unit_words: int, least_words: int, window: int | None):
@@ -103,13 +109,13 @@ def _occurrences(units: int, unit_words: int, least_words: int, window: int | No
         for batch in batches:
             for i, _, words in each_words(batch.column("text"), SPACE_SEPARATED):
                 cut_up = Units(words, unit_words, window)
-                a, b, h = cut_up.spans(units, least_words)
+                a, b, h, g = cut_up.spans(units, least_words)
                 if not len(a):
                     continue
                 text = cut_up.text[a]
                 row = pa.array(text + i)
                 low = cut_up.bounds[text]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("id").take(row), batch.column("rk").take(row), pa.array((a - low).astype(np.int32)), pa.array((b - low).astype(np.int32))], ["h", "id", "rk", "a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), batch.column("id").take(row), batch.column("rk").take(row), pa.array((a - low).astype(np.int32)), pa.array((b - low).astype(np.int32))], ["h", "g", "id", "rk", "a", "b"])
 
     return run
 
@@ -155,15 +161,16 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     are one document and come back alike. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    key: Column = F.xxhash64("id", "text")
-    seen = rows.where("text is not null").withColumn("rk", key).mapInArrow(_occurrences(units, unit_words, least_words, window), "h long, id long, rk long, a int, b int")
+    # Rows are told apart by id and text; the text's hash only has to tell apart rows of one id.
+    key: Column = F.xxhash64("text")
+    seen = rows.where("text is not null").withColumn("rk", key).mapInArrow(_occurrences(units, unit_words, least_words, window), "h long, g long, id long, rk long, a int, b int")
     order = F.struct(F.col("id").isNull().alias("n"), "id", "rk", "a")
     # Written first, here and below: a join of two shuffled sides is one whose frequent keys Spark can split.
     often = cut(seen.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"))
     again = cut(seen.join(often, "h"))
-    first = again.groupBy("h").agg(F.min(order).alias("f"), F.max(order).alias("l")).where("f <> l").select("h", F.col("f.rk").alias("rk0"), F.col("f.a").alias("a0"))
-    later = again.join(cut(first), "h").where("rk <> rk0 or a <> a0")
-    gone = later.groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    both = rows.withColumn("rk", key).join(gone, "rk", "left").select(F.col("id").alias("row"), "text", "spans")
+    first = again.groupBy("h", "g").agg(F.min(order).alias("f"), F.max(order).alias("l")).where("f <> l").select("h", "g", F.col("f.id").alias("id0"), F.col("f.rk").alias("rk0"), F.col("f.a").alias("a0"))
+    later = again.join(cut(first), ["h", "g"]).where("not id <=> id0 or rk <> rk0 or a <> a0")
+    gone = later.groupBy(F.col("id").alias("_id"), F.col("rk").alias("_rk")).agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    both = rows.withColumn("rk", key).join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("rk") == F.col("_rk")), "left").select(F.col("id").alias("row"), "text", "spans")
     out = both.mapInArrow(_without(unit_words, window), "row long, text string, n_units long, n_removed long")
     return out.select(F.col("row").alias("doc_id"), "n_units", "n_removed", "text")

@@ -16,7 +16,7 @@ CHUNK_BYTES = 1 << 20
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _BASE_INV = _U(pow(int(_BASE), -1, 1 << 64))
-_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
+_BYTE, _BYTE_AGAIN = (np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1) for seed in (20240229, 19960301))
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -99,13 +99,21 @@ class Words:
         self.start = np.flatnonzero(first)
         self.end = np.flatnonzero(last) + 1
         self.text = np.searchsorted(offsets, self.start, "right") - 1
+        self.hash = self._hashed(_BYTE)
+        #: First word of each text, and one past the last.
+        self.bounds = np.searchsorted(self.text, np.arange(self.texts + 1))
+
+    def _hashed(self, table: np.ndarray) -> np.ndarray:
+        n = len(self.bytes)
         power, inverse = _power_tables(max(n, 1))
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * power[:n], out=total[1:])
+        np.cumsum(table[self.bytes] * power[:n], out=total[1:])
         h = (total[self.end] - total[self.start]) * inverse[self.start]
-        self.hash = mix(h + (self.end - self.start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
-        #: First word of each text, and one past the last.
-        self.bounds = np.searchsorted(self.text, np.arange(self.texts + 1))
+        return mix(h + (self.end - self.start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+
+    def again(self) -> np.ndarray:
+        """A second hash of each word, independent of the first."""
+        return self._hashed(_BYTE_AGAIN)
 
     def spelled(self, at: int, size: int) -> bytes:
         """The words of a window, lower-cased, with one space between."""
