@@ -280,6 +280,68 @@ def test_kneser_ney_is_a_distribution():
         assert abs(p.sum() + rest * (langid.ALPHABET - len(seen)) - 1) < 1e-9
 
 
+def kneser_ney_by_hand(texts):
+    """Interpolated Kneser-Ney from its formula, with dictionaries."""
+    counts = [defaultdict(int) for _ in range(5)]
+    for t in texts:
+        t = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in t.lower()))
+        t = "   " + t
+        for i in range(3, len(t)):
+            counts[4][t[i - 3 : i + 1]] += 1
+    for n in (3, 2, 1):
+        for g in counts[n + 1]:
+            counts[n][g[1:]] += 1
+    total, kinds, discount = defaultdict(int), defaultdict(int), {}
+    for n in range(1, 5):
+        once, twice = (sum(v == k for v in counts[n].values()) for k in (1, 2))
+        discount[n] = once / (once + 2 * twice) if once and twice else 0.5
+        for g, v in counts[n].items():
+            total[n, g[:-1]] += v
+            kinds[n, g[:-1]] += 1
+
+    def probability(g):
+        if not g:
+            return 1 / langid.ALPHABET
+        n, c = len(g), g[:-1]
+        if not total[n, c]:
+            return probability(g[1:])
+        return (max(counts[n][g] - discount[n], 0) if counts[n][g] else 0) / total[n, c] + discount[n] * kinds[n, c] / total[n, c] * probability(g[1:])
+
+    return probability
+
+
+def test_language_by_brute_force(spark):
+    """Every prediction and cross-entropy of the query, from the formula, over whole texts."""
+    import math
+    import zlib
+
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
+    taught = lambda r: zlib.crc32(str(r.doc_id).encode()) % 4 != 2
+    models = {lang: kneser_ney_by_hand([r.text for r in rows if r.lang == lang and taught(r)]) for lang in {r.lang for r in rows if taught(r)}}
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows)).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        assert got[r.doc_id].held_out == (not taught(r))
+        t = "   " + re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in r.text.lower()))
+        if not any(c.isalpha() for c in t):
+            assert got[r.doc_id].lang_pred == "und"
+        elif len(t) < 4000:  # the loops are slow; long texts are among the held-out ones of the accuracy test
+            ce = {lang: -sum(math.log(p(t[i - 3 : i + 1])) for i in range(3, len(t))) / (len(t) - 3) for lang, p in models.items()}
+            assert abs(min(ce.values()) - got[r.doc_id].cross_entropy) < 1e-3
+            assert ce[got[r.doc_id].lang_pred] < min(ce.values()) + 1e-3
+
+
+def test_language_of_copies_and_bounds(spark):
+    """A language of many copies of one text is learned; pruned models still tell languages apart; too many are refused."""
+    rows = [(i, "the cat sat on the mat with the other cats", "en") for i in range(300)] + [(1000 + i, f"der hund {'sehr ' * i}schlief auf der matte", "de") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for grams in (langid.TOTAL_GRAMS, 60):
+        assert all(r.lang_pred == ("en" if r.doc_id < 1000 else "de") for r in langid.identify(df, grams).collect())
+    many = spark.createDataFrame([(8 * i, "abc", f"l{i}") for i in range(300)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError):
+        langid.identify(many)
+
+
 def test_language_odd(spark, odd_docs):
     got = {r.doc_id: r for r in langid.identify(odd_docs).collect()}
     assert {got[i].lang_pred for i in (4, 5, 6)} == {"und"} and got[4].score == 0
