@@ -12,21 +12,50 @@ from tonehive.llm import entry, html_main, merkle, mixing, near_vec, quality
 from .conftest import SF
 
 
+def vectors_by_brute_force(spark, x, **options):
+    """(found links, wanted links by row) of the operator and of all cosines, and its rows."""
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.9).sum(1) - 1
+    got = near_vec.near_duplicate_vectors(df, **options).collect()
+    links = np.zeros(len(x), int)
+    for r in got:
+        links[r.vec_id] = r.n_links
+    assert (links <= want).all()  # no link below the cosine, none counted twice
+    return links, want, got
+
+
+def at_cosine(rng, x, cosine):
+    z = rng.normal(size=x.shape)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * u).sum(1, keepdims=True) * u
+    return cosine * u + np.sqrt(1 - cosine**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+
+
 def test_vectors(spark):
+    """A dense group, larger than a block and than a long list, a loose one, and vectors on their own."""
     rng = np.random.default_rng(3)
-    x = rng.normal(size=(600, 64))
-    x[100:400] = x[50] + 0.2 * rng.normal(size=(300, 64))  # a group larger than a block
+    x = rng.normal(size=(900, 64))
+    x[100:400] = x[50] + 0.2 * rng.normal(size=(300, 64))
     x[400:420] = x[30] + 0.28 * rng.normal(size=(20, 64))
-    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x.astype(np.float32))]
-    u = np.array([r[1] for r in rows])
-    u /= np.linalg.norm(u, axis=1, keepdims=True)
-    true = np.argwhere(np.triu(u @ u.T >= 0.9, 1))
-    got = near_vec.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), block=64).collect()
-    links = {r.vec_id: r.n_links for r in got}
-    want = np.bincount(true.ravel(), minlength=len(x))
-    assert all(links[i] <= want[i] for i in range(len(x)))
-    assert sum(links.values()) >= 0.97 * want.sum()
-    assert {r.component_id for r in got if r.vec_id in range(100, 400)} == {50}
+    x[500:800] = x[60] + 0.3 * rng.normal(size=(300, 64))
+    for options in ({"block": 64}, {"long": 10**9}, {"long": 8, "block": 16}):
+        links, want, got = vectors_by_brute_force(spark, x, **options)
+        assert links.sum() >= 0.97 * want.sum()
+        assert {r.component_id for r in got if r.vec_id in range(100, 400)} == {50}
+        assert links[:30].sum() == 0 and all(r.kept for r in got if r.vec_id < 30)
+
+
+@pytest.mark.parametrize("width", [24, 64, 256])
+def test_vectors_just_above_the_cosine(spark, width):
+    """1,000 planted pairs at 0.900 to 0.910 among as many other vectors."""
+    rng = np.random.default_rng(width)
+    x = rng.normal(size=(1000, width))
+    planted = np.concatenate([x, at_cosine(rng, x, np.linspace(0.9001, 0.91, 1000)[:, None]), rng.normal(size=(1000, width))])
+    links, want, _ = vectors_by_brute_force(spark, planted)
+    assert want.sum() >= 2000 and links.sum() >= 0.95 * want.sum()
+    assert near_vec.calibrated(width, 512)[1] >= near_vec.COUNT and near_vec.calibrated(width, 4096)[2] >= near_vec.RECALL
 
 
 def test_vectors_odd(spark):
