@@ -11,7 +11,8 @@ their cosine in double precision.
 `calibrated` chooses s and count: pairs of exactly the wanted cosine are drawn and put through the
 same lists, and s is the least with which RECALL of them collide at least COUNT times, count the
 greatest that still keeps that recall. Pairs of a higher cosine collide more often. `m` grows with the
-root of the number of vectors, so that lists stay short.
+root of the number of vectors, so that lists stay as short, and pairs within windows grow with the
+vectors and not with their square (from DIRECTIONS on lists grow instead).
 
 A list of more than LONG vectors (a group of near copies) has no windows: its pairs would be too many
 to write. Its vectors are compared with each other directly, block by block, and what leaves a block
@@ -40,8 +41,8 @@ COSINE = 0.9
 WINDOW = 0.9
 #: Share of the pairs at the wanted cosine that must be found, and the least count asked for.
 RECALL, COUNT = 0.975, 3
-#: Directions, at least and at most, and vectors in a list on average that more directions are taken for.
-DIRECTIONS, AVERAGE = (512, 4096), 16
+#: Directions, at least and at most, and vectors in a list on average that they are taken for.
+DIRECTIONS, AVERAGE = (64, 8192), 2
 LONG = 128
 BLOCK = 256
 #: Different lengths of vectors that lists are calibrated for; with more, one collision is enough.
@@ -258,10 +259,8 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     classes = cut(classes.withColumn("ck", F.monotonically_increasing_id()))  # fixed by being written
 
     widths = [r.d for r in classes.select(F.size("vec").alias("d")).distinct().limit(WIDTHS + 1).collect()]
-    entries = COUNT * 15 * classes.count()
-    m = DIRECTIONS[0]
-    while m < DIRECTIONS[1] and 2 * m * m * AVERAGE < entries:
-        m *= 2
+    entries = 50 * classes.count()  # about 50 lists a vector, of 2 * m * m
+    m = 64 * -(-min(max(int((entries / (2 * AVERAGE)) ** 0.5), DIRECTIONS[0]), DIRECTIONS[1]) // 64)
     chosen = [calibrated(d, m, cosine, window, recall) for d in (widths if len(widths) <= WIDTHS else [64])] or [(4, 1, 1.0)]
     s, count = max(c[0] for c in chosen), min(c[1] for c in chosen) if len(widths) <= WIDTHS else 1
     shown = cut(classes.select("ck", "vec").mapInArrow(_lists(m, s), "ck long, lists array<long>, shown array<float>"))
