@@ -84,6 +84,21 @@ def test_shards_and_samples(spark):
     assert splits.sample_examples(df, "id", 5).collect() == splits.sample_examples(df.repartition(9), "id", 5).collect()
 
 
+def test_padding_stops_at_the_last_end_so_far(spark):
+    rows = [("m", 1, 0, 5000), ("m", 2, 1000, 1200), ("m", 3, 6000, 6500)]
+    out = segments.padded(spark.createDataFrame(rows, "media string, i int, start_ms long, end_ms long"), lead=3000).orderBy("i").collect()
+    assert [r.clip_start for r in out] == [0, 1000, 5000]
+
+
+def test_one_file(spark, tmp_path):
+    path = tmp_path / "one.csv"
+    path.write_text("a,b\n1,x\n2,y\n", encoding="utf-8")
+    files.replace_csv(files.read_csv(spark, str(path)).withColumn("c", F.upper("b")), str(path))
+    assert path.is_file() and path.read_text(encoding="utf-8") == "a,b,c\n1,x,X\n2,y,Y\n"
+    files.write_text(spark, "ä", str(tmp_path / "t.txt"))
+    assert (tmp_path / "t.txt").read_text(encoding="utf-8") == "ä"
+
+
 def test_padding_does_not_bleed(spark):
     rows = [("m", 1, 1000, 2000), ("m", 2, 2100, 3000), ("m", 3, 2900, 4000), ("m", 4, 9000, 9500), ("n", 1, 100, 200)]
     out = segments.padded(spark.createDataFrame(rows, "media string, i int, start_ms long, end_ms long"), lead=300, tail=400).orderBy("media", "i").collect()
@@ -132,9 +147,15 @@ def test_listing_and_copy(spark, tmp_path):
     found = files.listing(spark, str(source))
     assert {r.file for r in found.collect()} == {"a.mp3", "sub/b.mp3"}
     assert manifest.existing(wanted, found).count() == 3 and manifest.absent(wanted, found).count() == 1
-    assert files.copy_missing(wanted, str(source), str(target)) == 1
+    copied, missing = files.copy_missing(wanted, str(source), "file:" + str(target))
+    assert copied == 1 and [r.file for r in missing.collect()] == ["no.mp3"]
     assert (target / "a.mp3").read_bytes() == b"kept" and (target / "sub/b.mp3").exists()
-    assert files.copy_missing(wanted, str(source), str(target)) == 0
+    assert files.copy_missing(wanted, str(source), str(target))[0] == 0
+    odd = tmp_path / "x" / "a+b" / "clips" / "x" / "clips"
+    odd.mkdir(parents=True)
+    (odd / "a b+ä.wav").write_bytes(b"x")
+    assert [r.file for r in files.listing(spark, str(tmp_path / "x" / "a+b" / "clips")).collect()] == ["x/clips/a b+ä.wav"]
+    assert [r.file for r in files.audio(spark, f"file://{odd}/").collect()] == ["a b+ä.wav"]
 
 
 def test_srt(spark, tmp_path):

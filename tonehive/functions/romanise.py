@@ -29,6 +29,7 @@ LETTERS_AFTER_A_MARK = "[aAeEgGhHiIkKmMnNoOpPtTuU]*"
 NASALS = f"(?:N|{NASAL}|nn)"
 CODA = f"((?:rm|rng|rn|r|m|ng|n|nnh|nn|{NASAL}|N)?)"
 STOP = f"(h{NASALS}?|H{NASALS}?|p|P|t|T|k|K)"
+VOWELS = "aeiouAEIOU"
 # Spellings of system A and B, in the order in which they are replaced.
 SPELLINGS = [("oonn", f"o{DOT}nn"), ("ts", "ch"), ("oo", f"o{DOT}"), ("ua", "oa"), ("ue", "oe"), ("ing", "eng"), ("ik", "ek")]
 CAPITAL_SPELLINGS = [("OONN", f"O{DOT}NN"), ("ONN", f"O{DOT}NN"), ("TS", "CH"), ("OO", f"O{DOT}"), ("UA", "OA"), ("UE", "OE"), ("ING", "ENG"), ("IK", "EK"), ("NNH", "HNN")]
@@ -44,17 +45,41 @@ class Options:
     capitals: bool = True
 
 
+#: Parts of a pattern that a match may lack: classes, groups, escapes and optional characters.
+_OPEN_PARTS = [re.compile(r"\[[^\]]*\][*+?]?"), re.compile(r"\((?:\?:)?[^()]*\)[*+?]?"), re.compile(r"\\.[*+?]?"), re.compile(r".[*?]", re.DOTALL)]
+
+
 @dataclass(frozen=True)
 class Rule:
-    """A substitution; `before_edge` asks for the end of a word after the match."""
+    """A substitution; `before_edge` asks for the end of a word after the match.
+
+    Without the characters `idle_without` in a text the rule changes nothing.
+    """
 
     pattern: str
     to: str
     before_edge: bool = False
+    idle_without: str = ""
 
     def compiled(self) -> tuple[re.Pattern, str]:
         return re.compile(self.pattern + (r"\b" if self.before_edge else "")), re.sub(r"\\(\d)", r"\\g<\1>", self.to)
 
+    @property
+    def literal(self) -> bool:
+        """Whether pattern and replacement are plain characters."""
+        return not self.before_edge and re.escape(self.pattern) == self.pattern and "\\" not in self.to
+
+    @property
+    def needed(self) -> str:
+        """Characters that a text must hold for the rule to change it: a digit or mark if there is one."""
+        if self.idle_without:
+            return self.idle_without
+        rest = self.pattern
+        for part in _OPEN_PARTS:
+            while (fewer := part.sub("\0", rest)) != rest:
+                rest = fewer
+        return max(rest.split("\0"), key=lambda x: (any(c.isdigit() for c in x), not x.isascii(), len(x)))
+
 
 def _with(letter: str, mark: str) -> str:
     return normalize("NFC", letter + mark)
@@ -78,8 +103,8 @@ def marks_to_digits() -> list[Rule]:
 def a_to_b(options: Options, keep_1_4: bool = False) -> list[Rule]:
     rules = []
     if not keep_1_4:
-        rules.append(Rule(rf"([aeiouAEIOU](?:nn|N)?|[aeiouAEIOU](?:ng|n|m)|(?:{INITIALS})?(?:ng|Ng|m|M))1", r"\1"))
-        rules.append(Rule(r"([aeiouAEIOU](?:(?:nn|N)?(?:h|H)|p|P|t|T|k|K)|(?:m|M|ng|Ng)(?:h|H))4", r"\1"))
+        rules.append(Rule(rf"([{VOWELS}](?:nn|ng|[Nnm])?|(?:{INITIALS})?(?:[nN]g|[mM]))1", r"\1"))
+        rules.append(Rule(rf"([{VOWELS}](?:(?:nn|N)?[hH]|[pPtTkK])|(?:[mM]|[nN]g)[hH])4", r"\1"))
     for old, new in SPELLINGS:
         rules += [Rule(x, y) for x, y in zip(_both(old), _both(new), strict=True)]
     rules.append(Rule("nnh", "hnn"))
@@ -87,11 +112,11 @@ def a_to_b(options: Options, keep_1_4: bool = False) -> list[Rule]:
 
 
 def _nasal_rules(options: Options) -> list[Rule]:
-    before = lambda vowels: rf"([{vowels}]{DOT}?h?|[{vowels}]{DOT}?|[hH])"
-    rules = [Rule(before("aeiouAEIOUmM") + r"nn(\d?)", rf"\1{NASAL}\2", True)]
+    after = lambda letters: rf"([{letters}]{DOT}?h?|[hH])"
+    small = VOWELS[:5] + "mM"
+    rules = [Rule(after(VOWELS + "mM") + r"nn(\d?)", rf"\1{NASAL}\2", True)]
     if options.nasal:
-        rules.append(Rule(before("aeioumM") + r"N(\d?)", rf"\1{NASAL}\2", True))
-        rules.append(Rule(rf"([aeioumM]{DOT}?)Nh?(\d?)", rf"\1h{NASAL}\2", True))
+        rules += [Rule(after(small) + r"N(\d?)", rf"\1{NASAL}\2", True), Rule(rf"([{small}]{DOT}?)Nh?(\d?)", rf"\1h{NASAL}\2", True)]
     return rules
 
 
@@ -114,7 +139,7 @@ def digits_to_marks(options: Options) -> list[Rule]:
                 rules.append(Rule(rf"{u}ih({NASALS}?){tone}", rf"{u}{LINE if tone == 8 else ''}ih\1"))
             else:
                 rules.append(Rule(rf"{u}(u|i)({NASALS}?){tone}", rf"{_with(u, marks[tone])}\1\2"))
-    rules.append(Rule(rf"(o|O)([ae])({NASALS}?)1?", r"\1\2\3", True))
+    rules.append(Rule(rf"(o|O)([ae])({NASALS}?)1?", r"\1\2\3", True, idle_without="1"))
     for tone in (2, 3, 5, 6, 7, 9):  # open oa and oe
         rules += [Rule(rf"{o}([ae])({NASALS}?){tone}", rf"{_with(o, marks[tone])}\1\2", True) for o in "oO"]
     for vowel in ("a", "e", "i", f"o{DOT}", "o", "u"):
@@ -122,7 +147,7 @@ def digits_to_marks(options: Options) -> list[Rule]:
             for v in _both(vowel):
                 dot = v[1:]
                 if tone == 4:
-                    rules.append(Rule(f"{v}{STOP}4?", rf"{v}\1"))
+                    rules.append(Rule(f"{v}{STOP}4?", rf"{v}\1", idle_without="4"))
                 elif tone == 8:
                     rules.append(Rule(f"{v}{STOP}8", rf"{v[0]}{LINE}{dot}\1"))
                 else:
@@ -156,10 +181,10 @@ def to_digits(text: str | None, nasal: str = "nn", show_1_4: bool = False) -> st
         return text
     text = _apply(marks_to_digits(), text)
     if nasal == "N":
-        text = re.sub("(?<=[aeiouAEIOU])nn", "N", text)
+        text = re.sub(f"(?<=[{VOWELS}])nn", "N", text)
     if show_1_4:
-        text = re.sub(r"(a|A|e|E|i|I|o|O|u|U|m|M|ng|Ng|n)\b", r"\g<1>1", text)
-        text = re.sub(r"(h|H|p|P|t|T|k|K)\b", r"\g<1>4", text)
+        text = re.sub(rf"([{VOWELS}mMn]|[nN]g)\b", r"\g<1>1", text)
+        text = re.sub(r"([hHpPtTkK])\b", r"\g<1>4", text)
     return text
 
 
@@ -173,54 +198,75 @@ def to_marks(text: str | None, options: Options = Options()) -> str | None:
     return _apply(digits_to_marks(options), text) if text else text
 
 
-# What is set aside, in this order; the group, if there is one, is what is kept of the match.
+# What is set aside, in this order, and characters that it cannot lack; the group, if
+# there is one, is what is kept of the match.
 _LETTER = r"(?:[^\W\d_]|[\u0300-\u036f])"
 _SET_ASIDE = [
-    re.compile(r"!\[[^\]]*\]\([^)]+\)"),
-    re.compile(r"\[[^\]]+\]\([^)]+\)"),
-    re.compile(r"(?:https?|ftp)://[^\s)\]\\]+"),
-    re.compile(r"\\\[(.*?)(?:\\\]|\Z)", re.DOTALL),
-    re.compile(_LETTER + f"+{NASAL}"),
-    re.compile(f"{_LETTER}*[oO]{DOT}{_LETTER}*"),
+    ("](", re.compile(r"!\[[^\]]*\]\([^)]+\)")),
+    ("](", re.compile(r"\[[^\]]+\]\([^)]+\)")),
+    ("://", re.compile(r"(?:https?|ftp)://[^\s)\]\\]+")),
+    ("\\[", re.compile(r"\\\[(.*?)(?:\\\]|\Z)", re.DOTALL)),
+    (NASAL, re.compile(_LETTER + f"+{NASAL}")),
+    (DOT, re.compile(f"{_LETTER}*[oO]{DOT}{_LETTER}*")),
 ]
 _FIRST_PRIVATE = 0xF0000
-_TOKEN = re.compile(r"[\w\u0300-\u036f]+")
+_TOKEN = re.compile(r"([\w\u0300-\u036f]+)")
+_DIGIT = re.compile(r"\d")
 
 
-class Converter:
-    """All stages, with a memo of tokens: every rule matches within a run of word characters and marks."""
+class _Memo(dict):
+    """Converted tokens; a new one is converted when it is asked for, and kept up to a limit.
 
-    def __init__(self, options: Options = Options(), memo: int = 200_000):
+    Most rules need a digit, a mark or a spelling that most tokens lack; they are passed over. Digits
+    come from the token or from its marks alone.
+    """
+
+    def __init__(self, options: Options, limit: int):
+        super().__init__()
         chain = [marks_to_digits(), a_to_b(options), digits_to_marks(options)]
-        self._rules = [r.compiled() for stage in chain for r in stage]
-        self._memo: dict[str, str] = {}
-        self._limit = memo
-
-    def _token(self, m: re.Match) -> str:
-        token = m[0]
-        got = self._memo.get(token)
-        if got is None:
-            got = token
-            for pattern, to in self._rules:
-                got = pattern.sub(to, got)
-            if len(self._memo) < self._limit:
-                self._memo[token] = got
+        with_stage = [(n, r.needed, *((None, r.to) if r.literal else r.compiled())) for n, stage in enumerate(chain) for r in stage]
+        self._rules = [r[1:] for r in with_stage]
+        self._plain = [r[1:] for r in with_stage if not any(c.isdigit() for c in r[1]) and (r[0] or r[1].isascii())]
+        self._limit = limit
+
+    def __missing__(self, token: str) -> str:
+        got = token
+        for needed, pattern, to in self._plain if token.isascii() and not _DIGIT.search(token) else self._rules:
+            if needed in got:
+                got = got.replace(needed, to) if pattern is None else pattern.sub(to, got)
+        if len(self) < self._limit:
+            self[token] = got
         return got
 
+
+class Converter:
+    """All stages, token by token: every rule matches within a run of word characters and marks."""
+
+    def __init__(self, options: Options = Options(), memo: int = 500_000):
+        self._tokens = _Memo(options, memo)
+
+    def tokens(self, text: str) -> str:
+        """The text with every token converted."""
+        parts = _TOKEN.split(text)
+        parts[1::2] = map(self._tokens.__getitem__, parts[1::2])
+        return "".join(parts)
+
     def __call__(self, text: str | None) -> str | None:
         """Null stays null; what is set aside comes back as it was, also where one holds another."""
         if not text:
             return text
         kept: list[str] = []
-        first = max(_FIRST_PRIVATE, 1 + max(map(ord, text)))
+        first = 0
 
         def aside(m: re.Match) -> str:
             kept.append(m[1] if m.re.groups else m[0])
             return chr(first + len(kept) - 1)
 
-        for pattern in _SET_ASIDE:
-            text = pattern.sub(aside, text)
-        text = _TOKEN.sub(self._token, text)
+        for needed, pattern in _SET_ASIDE:
+            if needed in text:
+                first = first or max(_FIRST_PRIVATE, 1 + ord(max(text)))
+                text = pattern.sub(aside, text)
+        text = self.tokens(text)
         for i in range(len(kept) - 1, -1, -1):  # later ones may hold earlier ones
             text = text.replace(chr(first + i), kept[i])
         return text
@@ -251,10 +297,22 @@ def convert(column: Column | str, options: Options = Options()) -> Column:
     return _vectorised(options)(column)
 
 
+#: Rules up to which native stages are nested calls; more would exceed the code limit of a generated class.
+NESTED = 40
+
+
 def native(column: Column, rules: list[Rule]) -> Column:
-    """Rules as built-in expressions, folded over a table of (pattern, replacement) so that the plan stays small."""
+    """Rules as built-in expressions, so that each pattern is compiled once.
+
+    A longer list is folded over a table of (pattern, replacement) instead, so that the plan stays small.
+    """
     word_end = r"(?![\p{L}\p{N}_])"
-    pairs = F.array(*(F.struct(F.lit(r.pattern + (word_end if r.before_edge else "")).alias("p"), F.lit(re.sub(r"\\(\d)", r"$\1", r.to)).alias("t")) for r in rules))
+    java = [(r.pattern + (word_end if r.before_edge else ""), re.sub(r"\\(\d)", r"$\1", r.to)) for r in rules]
+    if len(rules) <= NESTED:
+        for r, (pattern, to) in zip(rules, java, strict=True):
+            column = F.replace(column, F.lit(pattern), F.lit(to)) if r.literal else F.regexp_replace(column, pattern, to)
+        return column
+    pairs = F.array(*(F.struct(F.lit(p).alias("p"), F.lit(t).alias("t")) for p, t in java))
     return F.aggregate(pairs, column, lambda acc, r: F.regexp_replace(acc, r["p"], r["t"]))
 
 

@@ -71,6 +71,14 @@ def cer(reference: Column, hypothesis: Column) -> Column:
     return F.when(F.char_length(reference) > 0, F.levenshtein(reference, hypothesis) / F.char_length(reference))
 
 
+def cer_within(reference: Column, hypothesis: Column, limit: float) -> Column:
+    """The character error rate if it is at most `limit`, else null; distances beyond are not finished."""
+    size = F.char_length(reference)
+    distance = F.call_function("levenshtein", reference, hypothesis, F.ceil(size * F.lit(limit)).cast("int"))
+    rate = F.when((size > 0) & (distance >= 0), distance / size)
+    return F.when(rate <= limit, rate)
+
+
 def words(text: Column, each_han: bool = False) -> Column:
     """Number of words between white space; with `each_han` every Han character is one too."""
     counted = F.regexp_replace(text, r"(\p{IsHan})", " $1 ") if each_han else text

@@ -27,12 +27,20 @@ def fan_out(rows: DataFrame, datasets: dict[str, tuple[str, str]], index: str |
 
 
 def with_ordinal(df: DataFrame, name: str = "index") -> DataFrame:
-    """`df` with a gapless ordinal from 0 in the order of the scan, counted by partition."""
-    fields = [*df.schema.fieldNames()]
-    kinds = df.schema
-    numbered = df.rdd.zipWithIndex().map(lambda x: (x[1], *x[0]))
-    schema = kinds.__class__([*df.sparkSession.createDataFrame([], f"`{name}` long").schema.fields, *kinds.fields])
-    return df.sparkSession.createDataFrame(numbered, schema).select(name, *(f"`{f}`" for f in fields))
+    """`df` with a gapless ordinal from 0 in the order of the scan.
+
+    A row's place in its partition is the low part of its running number; partitions begin after the
+    counts of those before them, a number for each, which is what comes to the driver. `df` is
+    computed twice and must come in the same partitions both times, as a scan does.
+    """
+    counts = {r.p: r.n for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}
+    begins, before = [], 0
+    for p in range(max(counts, default=-1) + 1):
+        begins.append(before)
+        before += counts.get(p, 0)
+    table = F.array(*map(F.lit, begins)) if begins else F.array(F.lit(0))
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return df.select((F.element_at(table, F.spark_partition_id() + 1) + within).cast("long").alias(name), "*")
 
 
 def existing(clips: DataFrame, listing: DataFrame, on: str | list[str] = "file") -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 def padded(segments: DataFrame, media: str = "media", start: str = "start_ms", end: str = "end_ms", lead: int = 0, tail: int = 0, tie: str | None = None) -> DataFrame:
     """Segments with clip_start and clip_end: widened by lead and tail, but not into a neighbour nor below zero.
 
-    A segment that already overlaps its neighbour keeps its own bounds.
+    The neighbour before is the one that ends last of all earlier ones. A segment that already
+    overlaps its neighbour keeps its own bounds.
     """
     w = Window.partitionBy(media).orderBy(start, *([tie] if tie else []))
-    before, after = F.lag(end).over(w), F.lead(start).over(w)
+    before, after = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lead(start).over(w)
     begin = F.greatest(F.lit(0), F.col(start) - lead, F.least(F.coalesce(before, F.lit(0)), F.col(start)))
     stop = F.least(F.col(end) + tail, F.greatest(F.coalesce(after, F.col(end) + tail), F.col(end)))
     return segments.withColumn("clip_start", begin).withColumn("clip_end", stop)

@@ -15,6 +15,7 @@ from tonehive.functions import romanise, text
 from tonehive.functions.audio import frame_snr, rms
 from tonehive.operators import filters, manifest, ranks, segments, splits, stats
 from tonehive.sources import subtitles
+from tonehive.tables import written
 
 RULES = filters.Rules(min_dur=20.0, max_dur=600.0, max_wps=2.6)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,18 +122,21 @@ def stage_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.stage_counts(_marked(spark, sf_dir)).select("kept", "dropped")
 
 
-@_query("""
-WITH t AS (SELECT conv_id, turn, regexp_replace(text, '[^ -~]', '', 'g') AS text FROM conversations)
-SELECT a.conv_id, a.turn, round(levenshtein(a.text, b.text) / length(a.text), 6) AS cer
-FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
-WHERE length(a.text) > 0 AND levenshtein(a.text, b.text) / length(a.text) <= 0.9
+# DuckDB's distance is of bytes. A distance only asks which characters are equal, so in each pair of
+# texts every character of several bytes stands for one of a single byte that neither text has.
+@_query(r"""
+WITH p AS (SELECT a.conv_id, a.turn, a.text AS x, b.text AS y FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
+c AS (SELECT *, list_distinct(regexp_extract_all(x || y, '[^\x01-\x7F]')) AS wide, list_filter(list_transform(range(1, 128), lambda i: chr(CAST(i AS INTEGER))), lambda ch: NOT contains(x || y, ch)) AS free FROM p),
+m AS (SELECT conv_id, turn, translate(x, array_to_string(wide, ''), array_to_string(free[1:len(wide)], '')) AS x, translate(y, array_to_string(wide, ''), array_to_string(free[1:len(wide)], '')) AS y FROM c)
+SELECT conv_id, turn, round(levenshtein(x, y) / length(x), 6) AS cer FROM m WHERE length(x) > 0 AND levenshtein(x, y) / length(x) <= 0.9
 """)
 def cer_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.regexp_replace("text", "[^ -~]", "").alias("text"))
+    t = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     following = t.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("heard"))
-    rules = filters.Rules(check_cer=True, max_cer=0.9)
-    pairs = t.join(following, ["conv_id", "turn"]).withColumn("drop_reason", filters.drop_reason(rules, reference=F.col("text"), hypothesis=F.col("heard")))
-    return pairs.where("drop_reason is null").select("conv_id", "turn", F.round(text.cer(F.col("text"), F.col("heard")), 6).alias("cer"))
+    pairs = t.join(following, ["conv_id", "turn"])
+    # Exploded, so that the filter does not compute the distance once more.
+    rated = pairs.select("conv_id", "turn", F.explode(F.array(text.cer_within(F.col("text"), F.col("heard"), 0.9))).alias("cer"))
+    return rated.where("cer is not null").select("conv_id", "turn", F.round("cer", 6).alias("cer"))
 
 
 @_query("SELECT item_id, length(text) <= 200 AS fits FROM benchmark")
@@ -260,7 +264,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(f"""
-WITH s AS (SELECT *, lag(end_ms) OVER w AS before, lead(start_ms) OVER w AS after FROM ({_EVENTS}) WINDOW w AS (PARTITION BY user_id ORDER BY start_ms, event_id))
+WITH s AS (SELECT *, max(end_ms) OVER (PARTITION BY user_id ORDER BY start_ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, lead(start_ms) OVER w AS after FROM ({_EVENTS}) WINDOW w AS (PARTITION BY user_id ORDER BY start_ms, event_id))
 SELECT event_id, user_id, greatest(0, start_ms - 500, least(coalesce(before, 0), start_ms)) AS clip_start, least(end_ms + 700, greatest(coalesce(after, end_ms + 700), end_ms)) AS clip_end FROM s
 """)
 def segment_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,7 +335,7 @@ def packaged_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", _seconds().alias("duration_s"), F.lit(None).cast("double").alias("snr_db"))
     clean = package.cleaned(docs, config).where("drop_reason is null").drop("drop_reason")
     timed = clean.withColumn("wps", text.words_per_second(F.col("text"), F.col("duration_s")))
-    kept = timed.where(filters.drop_reason(RULES, F.col("duration_s"), F.col("wps")).isNull()).select("doc_id", "duration_s")
+    kept = written(timed.where(filters.drop_reason(RULES, F.col("duration_s"), F.col("wps")).isNull()).select("doc_id", "duration_s"))
     return splits.random_split(kept, "doc_id").groupBy("split").agg(F.count("*").alias("n"), F.round(F.sum("duration_s") / 3600, 2).alias("hours"))
 
 
