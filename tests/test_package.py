@@ -30,8 +30,9 @@ def test_wav_round_trip_and_header(spark):
     data = audio.write_wav(RATE, x)
     rate, y = audio.read_wav(data)
     assert rate == RATE and np.abs(y[:, 0] - x).max() < 1e-4
-    row = spark.createDataFrame([(bytearray(data),)], "b binary").select(audio.wav_header(F.col("b")).alias("h")).first().h
-    assert (row.rate, row.channels, row.bits) == (RATE, 1, 16)
+    extra = bytes(data[:12]) + b"LIST\x03\0\0\0abc\0" + bytes(data[12:])
+    rows = spark.createDataFrame([(1, bytearray(data)), (2, bytearray(extra)), (3, bytearray(b"RIFF")), (4, None)], "i int, b binary").select("i", audio.wav_header()("b").alias("h")).orderBy("i").collect()
+    assert [tuple(r.h) for r in rows] == [(RATE, 1, 16, 0.5), (RATE, 1, 16, 0.5), (None,) * 4, (None,) * 4]
 
 
 def test_loudness_of_a_full_scale_sine():
@@ -87,21 +88,22 @@ def test_run(spark, clips, tmp_path):
     out = str(tmp_path / "packed")
     config = package.Config(dataset_name="made", shard_size=4)
     report = package.run(clips, config, out, {"Title": "t"})
-    stages = {s["name"]: s["stats"] for s in report["stages"].values()}
+    stages = {k.split("_", 1)[1]: s["stats"] for k, s in report["stages"].items()}
+    assert [s["name"] for s in report["stages"].values()] == package.TITLES
     assert stages["normalized"] == {"normalized": 11, "errors": 0}
     assert stages["cleaned"] == {"kept": 11, "dropped": 0}
-    assert stages["filtered"] == {"kept": 10, "dropped": 1, "reasons": {"snr": 1}}
-    assert stages["split"]["counts"] == {"train": 10, "validation": 0, "test": 0}
+    assert stages["filtered"] == {"kept": 10, "dropped": 1, "reasons": {"snr": 1}, "audio_checks_skipped": False}
+    assert stages["split"] == {"total": 10, "train": 10, "val": 0, "test": 0, "train_ratio": 1.0, "val_ratio": 0.0, "test_ratio": 0.0, "seed": 42, "method": "random"}
     assert stages["packaged"]["total_samples"] == 10 and stages["packaged"]["splits"] == {"train": 10}
     data = spark.read.parquet(f"{out}/data")
     assert data.columns == ["audio", "text", "duration_s", "snr_db", "wps", "original_text", "split"]
     files = data.groupBy(F.input_file_name()).count().collect()
     assert max(r["count"] for r in files) <= 4 and sum(r["count"] for r in files) == 10
-    info = json.loads("\n".join(r.value for r in spark.read.text(f"{out}/dataset_info").collect()))
+    info = json.loads((tmp_path / "packed" / "dataset_info.json").read_text())
     assert info["mode"] == "ASR" and info["sample_rate"] == RATE
     again = package.run(clips, package.Config(start_stage=4, end_stage=4, speaker_col="speaker", val=0.34, test=0.34), out)
-    assert set(again["stages"]["4_split"]["stats"]["counts"].values()) <= {3, 4}
-    page = "\n".join(r.value for r in spark.read.text(f"{out}/stats").collect())
+    assert {again["stages"]["4_split"]["stats"][s] for s in ("train", "val", "test")} <= {3, 4}
+    page = (tmp_path / "packed" / "stats.md").read_text()
     assert "| made | packaged |" in page and "10 examples" in page
 
 

@@ -93,22 +93,33 @@ def snr(x: np.ndarray, rate: int) -> float | None:
     return float(20 * np.log10(high / low)) if low > 0 and high > 0 else None
 
 
-def normalise(data: bytes, sample_rate: int, lufs: float) -> tuple[bytes, float, float | None]:
-    """(WAV, seconds, SNR): mono, resampled, brought to the loudness unless that would clip."""
+def true_peak(x: np.ndarray, rate: int) -> float:
+    """Greatest absolute value of the signal sampled four times as often: peaks lie between samples."""
+    return float(np.abs(resampled(x, rate, 4 * rate)).max()) if len(x) else 0.0
+
+
+def normalise(data: bytes, sample_rate: int, lufs: float, two_pass: bool = False) -> tuple[bytes, float, float | None]:
+    """(WAV, seconds, SNR): mono, resampled, brought to the loudness unless that would clip.
+
+    With `two_pass` the peak that must not clip is the true peak, kept at -1 dB, and the result is
+    measured and corrected once more.
+    """
     rate, x = read_wav(data)
     mono = resampled(x.mean(1), rate, sample_rate)
-    level = loudness(mono, sample_rate)
-    if np.isfinite(level):
+    for _ in range(2 if two_pass else 1):
+        level = loudness(mono, sample_rate)
+        if not np.isfinite(level):
+            break
         gain = 10 ** ((lufs - level) / 20)
-        peak = np.abs(mono).max()
-        mono = mono * min(gain, 0.999 / peak if peak else gain)
+        peak, highest = (true_peak(mono, sample_rate), 10 ** (-1 / 20)) if two_pass else (np.abs(mono).max(), 0.999)
+        mono = mono * min(gain, highest / peak if peak else gain)
     return write_wav(sample_rate, mono), len(mono) / sample_rate, snr(mono, sample_rate)
 
 
 NORMALISED = "wav binary, duration_s double, snr_db double, error string"
 
 
-def normalise_audio(sample_rate: int = 16_000, lufs: float = -23.0):
+def normalise_audio(sample_rate: int = 16_000, lufs: float = -23.0, two_pass: bool = False):
     """A column function from WAV bytes to struct<wav, duration_s, snr_db, error>; bad bytes give the error."""
 
     @F.pandas_udf(NORMALISED)
@@ -117,7 +128,7 @@ def normalise_audio(sample_rate: int = 16_000, lufs: float = -23.0):
             rows = []
             for data in batch:
                 try:
-                    rows.append((*normalise(bytes(data), sample_rate, lufs), None) if data is not None else (None, None, None, "no audio"))
+                    rows.append((*normalise(bytes(data), sample_rate, lufs, two_pass), None) if data is not None else (None, None, None, "no audio"))
                 except (wave.Error, EOFError, ValueError) as e:
                     rows.append((None, None, None, str(e) or type(e).__name__))
             yield pd.DataFrame(rows, columns=["wav", "duration_s", "snr_db", "error"])
@@ -157,10 +168,41 @@ def concatenated(clips: DataFrame, media: str, order: str, wav: str) -> DataFram
     return clips.select(media, order, wav).groupBy(media).applyInPandas(run, f"`{media}` {kind}, `{wav}` binary, clips long")
 
 
-def wav_header(data: Column) -> Column:
-    """rate, channels and bits of canonical WAV bytes, read from the header alone."""
-    number = lambda at, n: F.conv(F.hex(F.concat(*(F.substring(data, at + k, 1) for k in range(n - 1, -1, -1)))), 16, 10).cast("long")
-    return F.when(F.hex(F.substring(data, 1, 4)) == "52494646", F.struct(number(25, 4).alias("rate"), number(23, 2).alias("channels"), number(35, 2).alias("bits")))
+HEADER = "struct<rate:long,channels:long,bits:long,seconds:double>"
+
+
+def chunks(data: bytes) -> Iterator[tuple[bytes, int, int]]:
+    """(name, begin, size) of the chunks of a RIFF file, in order."""
+    at = 12
+    while data[:4] == b"RIFF" and at + 8 <= len(data):
+        size = int.from_bytes(data[at + 4 : at + 8], "little")
+        yield data[at : at + 4], at + 8, size
+        at += 8 + size + size % 2
+
+
+def wav_header():
+    """A column function from WAV bytes to struct<rate, channels, bits, seconds>; null if they are none.
+
+    Chunks before the format or the samples are passed over.
+    """
+
+    @F.pandas_udf(HEADER)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for data in batch:
+                data = bytes(data) if data is not None else b""
+                found = {name: (begin, size) for name, begin, size in reversed(list(chunks(data)))}
+                if b"fmt " not in found:
+                    rows.append((None, None, None, None))
+                    continue
+                f = data[found[b"fmt "][0] :]
+                channels, rate, frame, bits = (int.from_bytes(f[a:b], "little") for a, b in ((2, 4), (4, 8), (12, 14), (14, 16)))
+                begin, size = found.get(b"data", (0, 0))
+                rows.append((rate, channels, bits, min(size, len(data) - begin) / (frame * rate) if frame and rate else None))
+            yield pd.DataFrame(rows, columns=["rate", "channels", "bits", "seconds"]).astype({"rate": "Int64", "channels": "Int64", "bits": "Int64", "seconds": "float64"})
+
+    return run
 
 
 def rms(samples: Column) -> Column:

@@ -18,9 +18,18 @@ from tonehive.functions.text import clean_asr, clean_tts, words_per_second
 from tonehive.operators.filters import Rules, drop_reason, stage_counts, within_length
 from tonehive.operators.splits import random_split, speaker_split, split_counts, stratified_split
 from tonehive.operators.stats import duration_stats
-from tonehive.sources.files import write_shards
+from tonehive.sources.files import write_shards, write_text
 
 STAGES = ["normalized", "cleaned", "filtered", "split", "packaged"]
+# Fixed values of the output format: titles of the stages in their reports, and the arguments that each report names.
+TITLES = ["audio_normalizer", "text_cleaner", "quality_filter", "split_dataset", "packager"]
+ARGUMENTS = [
+    ["sr", "lufs", "two_pass", "workers"],
+    ["tts", "lang", "max_tts_chars", "remove_punctuation"],
+    ["text_col", "tts", "cer", "min_dur", "max_dur", "min_snr", "max_cer", "min_wps", "max_wps", "filter_audio"],
+    ["train", "val", "test", "seed", "speaker_col", "stratify_dur"],
+    ["tts", "speaker_col", "shard_size", "dataset_name", "lang"],
+]
 
 
 @dataclass(frozen=True)
@@ -32,6 +41,8 @@ class Config:
     text_col: str = "text"
     sr: int = 16_000
     lufs: float = -23.0
+    two_pass: bool = False
+    workers: int | None = None  # tasks that normalise audio; None leaves it to the scan
     tts: bool = False
     lang: str = "nan"
     max_tts_chars: int = 200
@@ -45,10 +56,17 @@ class Config:
     shard_size: int = 500
     hypothesis_col: str | None = None
 
+    def arguments(self, stage: int) -> dict:
+        """Those of a stage, by the names that its report gives them."""
+        rules = asdict(self.rules)
+        every = asdict(self) | rules | {"cer": rules["check_cer"], "train": round(1 - self.val - self.test, 10)}
+        return {name: every[name] for name in ARGUMENTS[stage - 1]}
+
 
 def normalized(clips: DataFrame, config: Config) -> DataFrame:
     """Adds wav, duration_s, snr_db and audio_error to clips that have audio.bytes."""
-    done = clips.withColumn("_n", normalise_audio(config.sr, config.lufs)(F.col("audio.bytes")))
+    dealt = clips.repartition(config.workers) if config.workers else clips
+    done = dealt.withColumn("_n", normalise_audio(config.sr, config.lufs, config.two_pass)(F.col("audio.bytes")))
     return done.select(*clips.columns, F.col("_n.wav").alias("wav"), F.col("_n.duration_s").alias("duration_s"), F.col("_n.snr_db").alias("snr_db"), F.col("_n.error").alias("audio_error"))
 
 
@@ -87,12 +105,13 @@ def run(clips: DataFrame, config: Config, out: str, subtitle_metadata: dict[str,
     """Runs the stages from clips (file, text, audio struct<bytes, path>) and writes to `out`.
 
     Each stage leaves a table under `out`/stages, so a run may begin at any stage. Returns the
-    report: arguments, counts and time of each stage. It is also written as JSON beside the data,
-    with dataset_info.json, a statistics page and a card.
+    report: arguments, counts and time of each stage. It is also written beside the data as
+    metadata_overall.json, each stage's part as metadata_<k>_<stage>.json, with dataset_info.json, a
+    statistics page and a card.
     """
     spark = clips.sparkSession
     began = time.time()
-    report: dict = {"pipeline_args": asdict(config), "subtitle_metadata": subtitle_metadata or {}, "stages": {}, "started": began}
+    report: dict = {"pipeline_args": asdict(config), "subtitle_metadata": subtitle_metadata or {}, "stages": {}, "start_time": began}
     table = clips
     path = lambda k: f"{out}/stages/{k}_{STAGES[k - 1]}"
     if config.start_stage > 1:
@@ -109,17 +128,21 @@ def run(clips: DataFrame, config: Config, out: str, subtitle_metadata: dict[str,
         elif k in (2, 3):
             marked = (cleaned if k == 2 else filtered)(table, config)
             row = stage_counts(marked).first()
-            stats = {"kept": row.kept, "dropped": row.dropped} | ({"reasons": dict(row.reasons)} if k == 3 else {})
+            stats = {"kept": row.kept, "dropped": row.dropped} | ({"reasons": dict(row.reasons), "audio_checks_skipped": not config.rules.filter_audio} if k == 3 else {})
             table = _kept(spark, marked.where("drop_reason is null").drop("drop_reason"), path(k))
         elif k == 4:
             table = _kept(spark, split(table, config), path(k))
             rows = {r.split: r for r in split_counts(table).collect()}
-            stats = {"method": "speaker" if config.speaker_col else "stratified" if config.stratify_dur else "random", "counts": {s: r.n for s, r in rows.items()}, "ratios": {s: r.ratio for s, r in rows.items()}}
+            short = {"train": "train", "validation": "val", "test": "test"}
+            stats = {"total": sum(r.n for r in rows.values())} | {short[s]: r.n for s, r in rows.items()} | {f"{short[s]}_ratio": r.ratio for s, r in rows.items()}
+            stats |= {"seed": config.seed, "method": "speaker" if config.speaker_col else "stratified" if config.stratify_dur else "random"}
         else:
             stats = package(table, config, out)
-        report["stages"][f"{k}_{name}"] = {"stage": k, "name": name, "stats": stats, "subtitle_metadata": report["subtitle_metadata"], "seconds": round(time.time() - at, 3)}
-    report |= {"seconds": round(time.time() - began, 3), "success": True}
-    _text(spark, json.dumps(report, ensure_ascii=False, indent=1, default=str), f"{out}/metadata_overall")
+        part = {"stage": k, "name": TITLES[k - 1], "args": config.arguments(k), "stats": stats, "subtitle_metadata": report["subtitle_metadata"], "seconds": round(time.time() - at, 3)}
+        report["stages"][f"{k}_{name}"] = part
+        write_text(spark, _json(part), f"{out}/metadata_{k}_{name}.json")
+    report |= {"success": True, "end_time": time.time(), "elapsed_s": time.time() - began}
+    write_text(spark, _json(report), f"{out}/metadata_overall.json")
     return report
 
 
@@ -128,8 +151,8 @@ def _kept(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _text(spark: SparkSession, text: str, path: str) -> None:
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+def _json(value: dict) -> str:
+    return json.dumps(value, ensure_ascii=False, indent=2, default=str) + "\n"
 
 
 def dataset_info(df: DataFrame, config: Config) -> dict:
@@ -145,9 +168,9 @@ def package(clips: DataFrame, config: Config, out: str) -> dict:
     samples = packaged(clips, config)
     write_shards(samples, f"{out}/data", config.shard_size)
     info = dataset_info(samples, config)
-    _text(spark, json.dumps(info, ensure_ascii=False, indent=1), f"{out}/dataset_info")
-    _text(spark, stats_page(clips, config), f"{out}/stats")
-    _text(spark, card(info, config), f"{out}/card")
+    write_text(spark, _json(info), f"{out}/dataset_info.json")
+    write_text(spark, stats_page(clips, config), f"{out}/stats.md")
+    write_text(spark, card(info, config), f"{out}/README.md")
     return info
 
 
@@ -155,6 +178,7 @@ def stats_page(clips: DataFrame, config: Config, examples: int = 10) -> str:
     """Markdown: a row of statistics and a few texts drawn at random."""
     from tonehive.operators.splits import sample_examples
 
+    # Fixed values of the output format.
     head = ["Dataset", "Path", "Description", "Count", "Total Hours", "Min (s)", "Max (s)", "Mean (s)", "P50 (s)", "P75 (s)", "P90 (s)", "P95 (s)", "P99 (s)"]
     row = duration_stats(clips).first()
     cells = [config.dataset_name, "packaged", f"{config.dataset_name} Dataset", *(row if row else [0] + [""] * 9)]
