@@ -70,6 +70,11 @@ def global_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.rank(docs, F.col("k")).select("k", "doc_id", (F.col("rn") - 1).alias("ordinal"))
 
 
+@_query('SELECT row_number() OVER () - 1 AS "index", o_orderkey FROM orders')
+def source_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.with_ordinal(_table(spark, sf_dir, "orders").select("o_orderkey"))
+
+
 @_query("SELECT d.doc_id, d.source, d.lang, l.quality AS grade FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 def left_merge_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.lit("old").alias("grade"))
@@ -213,20 +218,24 @@ def clean_text_asr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", text.clean_asr(F.col("text")).alias("text"))
 
 
-@_query()
-def clean_text_tts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").select("doc_id", text.clean_tts(F.col("text")).alias("text"))
-
-
-def _number_words_sql() -> str:
+def _number_in_words(n: str) -> str:
+    """SQL for the English words of a whole number from 0 to 999,999."""
     ones = "[" + ", ".join(f"'{w}'" for w in text.ONES) + "]"
     tens = "[" + ", ".join(f"'{w}'" for w in text.TENS) + "]"
     two = lambda n: f"CASE WHEN {n} % 100 = 0 THEN '' WHEN {n} % 100 < 20 THEN ({ones})[{n} % 100 + 1] ELSE ({tens})[{n} % 100 // 10 - 1] || CASE WHEN {n} % 10 > 0 THEN ' ' || ({ones})[{n} % 10 + 1] ELSE '' END END"
     three = lambda n: f"trim(CASE WHEN {n} >= 100 THEN ({ones})[{n} // 100 + 1] || ' hundred ' ELSE '' END || {two(n)})"
-    return f"SELECT p_partkey, CASE WHEN p_partkey = 0 THEN 'zero' ELSE trim(CASE WHEN p_partkey >= 1000 THEN {three('(p_partkey // 1000)')} || ' thousand ' ELSE '' END || {three('(p_partkey % 1000)')}) END AS words FROM part"
+    return f"CASE WHEN {n} = 0 THEN 'zero' ELSE trim(CASE WHEN {n} >= 1000 THEN {three(f'({n} // 1000)')} || ' thousand ' ELSE '' END || {three(f'({n} % 1000)')}) END"
+
+
+@_query(lambda: rf"""
+WITH p AS (SELECT doc_id, regexp_split_to_array(text, '[0-9]+') AS pieces, list_transform(regexp_extract_all(text, '[0-9]+'), lambda m: CASE WHEN length(m) > 6 THEN m ELSE {_number_in_words("TRY_CAST(m AS BIGINT)")} END) AS spoken FROM documents)
+SELECT doc_id, trim(regexp_replace(array_to_string(list_transform(range(1, len(pieces) + 1), lambda i: pieces[i] || coalesce(spoken[i], '')), ''), '\s+', ' ', 'g')) AS text FROM p
+""")
+def clean_text_tts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", text.clean_tts(F.col("text")).alias("text"))
 
 
-@_query(_number_words_sql)
+@_query(lambda: f"SELECT p_partkey, {_number_in_words('p_partkey')} AS words FROM part")
 def number_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "part").select("p_partkey", text.number_words(F.col("p_partkey")).alias("words"))
 
@@ -241,8 +250,11 @@ def roman_stage2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", romanise.native(F.col("text"), romanise.a_to_b(romanise.Options())).alias("text"))
 
 
-def _roman_sql() -> str:
-    out, options = "text", romanise.Options()
+_CHOSEN = romanise.Options(nasal=False, tone6_caron=True, capitals=False)
+
+
+def _roman_sql(options: romanise.Options = romanise.Options()) -> str:
+    out = "text"
     for rules in (romanise.marks_to_digits(), romanise.a_to_b(options), romanise.digits_to_marks(options)):
         out = romanise.sql(out, rules)
     return f"SELECT doc_id, {out} AS text FROM documents"
@@ -253,6 +265,11 @@ def roman_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", romanise.convert("text").alias("text"))
 
 
+@_query(lambda: _roman_sql(_CHOSEN))
+def roman_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", romanise.convert("text", _CHOSEN).alias("text"))
+
+
 # --- segments and subtitles ------------------------------------------------------------------
 
 _EVENTS = "SELECT event_id, user_id, event_type, (epoch_us(ts) // 1000) AS start_ms, (epoch_us(ts) // 1000) + CAST(floor(value * 1000) AS BIGINT) AS end_ms FROM events"
@@ -318,6 +335,23 @@ def signal_rms_snr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "embeddings").select("vec_id", F.round(rms(F.col("embedding")), 6).alias("rms"), F.round(frame_snr(F.col("embedding"), 8), 6).alias("snr_db"))
 
 
+_SIGNALS = """
+WITH s AS (SELECT vec_id, (i - 1) // 8 AS frame, CAST(embedding[i] AS DOUBLE) AS x FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings)),
+f AS (SELECT vec_id, frame, sqrt(sum(x * x) / count(*)) AS rms FROM s GROUP BY vec_id, frame),
+q AS (SELECT vec_id, 20 * log10(max(rms) / min(rms)) AS snr_db, vec_id % 7 / 10.0 AS duration_s FROM f GROUP BY vec_id)
+"""
+
+
+@_query(f"""{_SIGNALS}
+SELECT vec_id, CASE WHEN duration_s < 0.2 THEN 'duration' WHEN snr_db < 6 THEN 'snr' END AS audio_reason, CAST(NULL AS VARCHAR) AS text_reason FROM q
+""")
+def snr_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audio rules, and the same rules with audio filters off."""
+    signals = _table(spark, sf_dir, "embeddings").select("vec_id", frame_snr(F.col("embedding"), 8).alias("snr_db"), (F.col("vec_id") % 7 / 10.0).alias("duration_s"))
+    reason = lambda on: filters.drop_reason(filters.Rules(min_dur=0.2, min_snr=6.0, filter_audio=on), F.col("duration_s"), snr=F.col("snr_db"))
+    return signals.select("vec_id", reason(True).alias("audio_reason"), reason(False).alias("text_reason"))
+
+
 # --- the text stages of the packaging pipeline in one plan -------------------------------------
 
 
