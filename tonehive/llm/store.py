@@ -1,58 +1,6 @@
 """Cutting lineage with tables in the folder that the cluster shares."""
 
-from __future__ import annotations
+from tonehive.tables import scratch, shared_dir
+from tonehive.tables import written as cut
 
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
-
-_scopes: list[list[str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Where that is unset, a local one in local mode only (tests).
-
-    On a cluster a local folder would be another one on each machine, so there it must be set.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tonehive-checkpoint-"))
-    return sc.getCheckpointDir()
-
-
-def _on_file_system(spark: SparkSession, path: str, method: str, *args: object) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    getattr(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), method)(p, *args)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """`df` written once as Parquet in the shared folder and read back.
-
-    The result no longer depends on shuffle files or cached blocks of any executor, so a lost
-    executor costs only the tasks that run at the moment. The table goes when the `scratch` around
-    the call ends, or else with the application.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if _scopes:
-        _scopes[-1].append(path)
-    _on_file_system(spark, path, "deleteOnExit")
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Deletes the tables that are cut inside; what is computed from them must have been written by then."""
-    _scopes.append([])
-    try:
-        yield
-    finally:
-        for path in _scopes.pop():
-            _on_file_system(spark, path, "delete", True)
+__all__ = ["cut", "scratch", "shared_dir"]
