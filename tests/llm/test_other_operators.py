@@ -88,6 +88,9 @@ def test_main_text(spark, duck):
         ("a < b and <i>c", "a < b and c"),
         ("<p>x<!-- y --><p title='>'>z", "x\nz"),
         ("<article><p>reading adder shadow</p><p class='shadow address'>kept</p></article>", "reading adder shadow\nkept"),
+        ("<article><p>x<span class='ad'>AD</span>y <b class=promo>P<div>deep</div></b>z</p>w</article>", "xy\nz\nw"),
+        ("<article><p>x <span class='ad'>never closed</p><p>y</p></article>", "x\ny"),
+        ("<article><p>x <span class='ad'>a<p>b</p></span></p><p>y</p></article>", "x\ny"),
         ("", ""),
         (None, ""),
         ("<", "<"),
@@ -109,6 +112,41 @@ def test_repeated_runs_of_a_host(spark):
     assert html_main.extract_main(df.limit(0)).count() == 0
 
 
+def test_suffix_array_by_brute_force(spark):
+    """Pages without an article: every window of words on pages of other texts of the host, by loops."""
+    rng = np.random.default_rng(7)
+    words = [f"w{k}" for k in range(12)]
+    lines = [" ".join(rng.choice(words, n)) for n in rng.integers(3, 20, 14)]
+    rows = []
+    for i in range(60):
+        parts = [lines[k] if rng.random() < 0.6 else " ".join(rng.choice(words, rng.integers(2, 25))) for k in rng.integers(0, len(lines), rng.integers(1, 6))]
+        page = "".join(f"<div>{x}</div>" if rng.random() < 0.8 else f"<nav>{x}</nav>" for x in parts)
+        rows.append((i, f"http://{'ab'[i % 2]}.example/{i}", f"<article>{i}</article>{page}" if i % 5 == 0 else page))
+    rows += [(100 + i, *rows[i][1:]) for i in range(10)]  # copies are no other texts
+    found = {i: html_main.blocks(h) for i, _, h in rows}
+    stream = {i: " ".join(t for t, part in b if part != html_main.MAIN).split() for i, b in found.items()}
+    said = {i: "\n".join(t for t, part in b if part) for i, b in found.items()}
+    host = {i: u[7] for i, u, _ in rows}
+    d, removed = html_main.DEPTH, 0
+    seen = {}
+    for i, s in stream.items():
+        for k in range(len(s) - d + 1):
+            seen.setdefault((host[i], *s[k : k + d]), set()).add(said[i])
+    got = {r.page_id: r.text for r in html_main.extract_main(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, b in found.items():
+        s = stream[i]
+        hit = {k + j for k in range(len(s) - d + 1) if len(seen[(host[i], *s[k : k + d])]) > 1 for j in range(d)}
+        covered, at = set(), 0
+        for n, (t, part) in enumerate(b):
+            size = len(t.split()) if part != html_main.MAIN else 0
+            if part == html_main.UNDECIDED and sum(at + k in hit for k in range(size)) >= html_main.COVERED * size:
+                covered.add(n)
+            at += size
+        assert got[i] == (html_main.main_of(b, covered) or html_main.main_of(b))
+        removed += len(covered)
+    assert removed > 20
+
+
 def test_copies_of_a_page_are_no_repeats(spark):
     """Three copies without an article element keep their text; a line that two pages of a host share goes."""
     article = "<div>" + " ".join(f"word{k}" for k in range(30)) + "</div>"
