@@ -167,10 +167,10 @@ def test_fixity_against_sql(spark, duck):
 
 
 def test_audit_descends_only_where_roots_differ(spark):
-    rows = [(f, k * 100, f"{f}:{k}", 1) for f in range(40) for k in range(50)]
-    schema = "file long, at long, digest string, times long"
+    rows = [(f, k * 100, f"{f}:{k}", 1, k) for f in range(40) for k in range(50)]
+    schema = "file long, at long, digest string, times long, key long"
     a = spark.createDataFrame(rows, schema)
-    worn = [(f, at, "worn" if (f, at) == (7, 300) else d, t) for f, at, d, t in rows if (f, at) != (30, 4900)] + [(41, 0, "new", 1)]
+    worn = [(f, at, "worn" if (f, at) == (7, 300) else d, t, k) for f, at, d, t, k in rows if (f, at) != (30, 4900)] + [(41, 0, "new", 1, 0)]
     findings, visits = merkle.audit(a, spark.createDataFrame(worn, schema), range_bytes=500, fan=4)
     assert sorted((r.file, r.at, r.status) for r in findings.collect()) == [(7, 300, "altered"), (30, 4900, "missing"), (41, 0, "extra")]
     lowest = {r.level: r for r in visits.collect()}[0]
@@ -180,6 +180,38 @@ def test_audit_descends_only_where_roots_differ(spark):
     assert merkle.audit(a.limit(0), a.limit(0))[0].count() == 0
 
 
+def test_what_only_moved_is_no_finding(spark):
+    """A record that grew moves the rest of its file; one is gone, one is new, and equal keys are paired."""
+    rows = [(f, k * 100, f"{f}:{k}", 1, k // 2) for f in range(3) for k in range(40)]
+    schema = "file long, at long, digest string, times long, key long"
+    worn = [(f, at + (37 if f == 1 and at > 500 else 0), "grown" if (f, at) == (1, 500) else d, t, k) for f, at, d, t, k in rows if (f, at) != (1, 2000)] + [(1, 4037, "new", 1, 99)]
+    findings, visits = merkle.audit(spark.createDataFrame(rows, schema), spark.createDataFrame(worn, schema), range_bytes=500, fan=4)
+    assert sorted((r.file, r.at, r.expected, r.found, r.status) for r in findings.collect()) == [(1, 500, "1:5", "grown", "altered"), (1, 2000, "1:20", None, "missing"), (1, 4037, None, "new", "extra")]
+    assert {r.level: r.compared for r in visits.collect()}[0] <= 9
+
+
+def test_warc_files(spark, tmp_path):
+    """Gzip members, malformed parts, and the audit of two folders."""
+    import gzip
+
+    record = lambda i, body: f"WARC/1.0\r\nWARC-Target-URI: u{i}\r\nWARC-Record-ID: <{i}>\r\nContent-Length: {len(body)}\r\n\r\n{body}\r\n\r\n".encode()
+    some = [record(i, "x" * i) for i in range(5)]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    (tmp_path / "a" / "p.warc").write_bytes(b"".join(some))
+    (tmp_path / "b" / "p.warc").write_bytes(b"".join([some[0], record(1, "changed"), *some[2:4]]))
+    (tmp_path / "a" / "q.warc.gz").write_bytes(b"".join(map(gzip.compress, some)))
+    (tmp_path / "b" / "q.warc.gz").write_bytes(b"".join(map(gzip.compress, some[:2])) + gzip.compress(some[2])[:-20])
+    got = {(r.name, r.record_id, r.status) for r in merkle.audit_files(spark, str(tmp_path / "a"), str(tmp_path / "b")).collect()}
+    assert got >= {("p.warc", "<1>", "altered"), ("p.warc", "<4>", "missing"), ("q.warc.gz", "<3>", "missing"), ("q.warc.gz", "<4>", "missing")}
+    assert not {g for g in got if g[1] in ("<0>",) or g[:2] == ("q.warc.gz", "<1>") or g[:2] == ("p.warc", "<2>")}
+    odd = some[3] + b"rubbish WARC/1. more" + record(7, "ok") + b"WARC/1.0\r\nContent-Length: x\r\n\r\n" + some[2] + record(8, "cut off")[:-7]
+    rows = list(merkle.records(odd))
+    assert [(r[2], r[3]) for r in rows if r[4] is None] == [("<3>", b"xxx"), ("<7>", b"ok"), ("<2>", b"xx")]
+    assert [r[4] for r in rows if r[4]] == ["no header", "no header", "no Content-Length", "content ends early"]
+    assert list(merkle.records(b"")) == []
+
+
 def test_fixity_odd(spark):
     rows = [(3, None, None), (3, None, None), (50, "u", ""), (77, "u", "x"), (None, "u", "äöü"), (5, "u", "long" * 100_000)]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, digest string")
