@@ -181,6 +181,17 @@ def test_iban_scores_and_redaction(spark):
     assert "@" not in text[4].text
 
 
+def test_ibans_before_capitals_and_many_spans(spark):
+    """An IBAN ends where its country's do; texts with thousands of spans keep all of them, in order."""
+    iban = "DE89 3704 0044 0532 0130 00"
+    rows = [(1, f"{iban} BIC COBADEFF"), (2, f"XX{iban}"), (3, " ".join(f"m{i}@x.org" for i in range(3000)))]
+    got = {r.doc_id: r for r in pii.pii_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].spans == "iban:0:27" and got[2].n_iban == 0
+    assert got[3].n_email == 3000 and got[3].base_sha256 == hashlib.sha256(",".join(f"email:{m.start()}:{m.end()}" for m in re.finditer(r"\S+", rows[2][1])).encode()).hexdigest()
+    clean = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert clean[1] == "[IBAN] BIC COBADEFF" and clean[3] == " ".join(["[EMAIL]"] * 3000)
+
+
 def test_pii_odd(spark, odd_docs):
     assert pii.pii_report(odd_docs).count() == odd_docs.count()
     assert pii.redact(odd_docs).columns == odd_docs.columns

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tonehive.llm.pii import gathered
 from tonehive.llm.store import cut
 from tonehive.llm.textcore import ALPHANUMERIC, Words, each_words
 
@@ -47,6 +48,19 @@ class _Lookup:
                         yield int(at[i]), size, items
 
 
+class _Sent:
+    """What is broadcast: windows as rows. A worker builds the lookup once and keeps it for its later tasks."""
+
+    def __init__(self, rows: list[tuple[int, int, bytes, list[str]]]):
+        self.rows = rows
+        self.built: _Lookup | None = None
+
+    def lookup(self) -> _Lookup:
+        if self.built is None:
+            self.built = _Lookup(self.rows)
+        return self.built
+
+
 def _item_windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,10 +142,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     sc = docs.sparkSession.sparkContext
     if windows.count() <= broadcast_windows:
         table = [(r.h, r.size, bytes(r.spelled), r.items) for r in windows.collect()]
-        sent = sc.broadcast(table)
+        sent = sc.broadcast(_Sent(table))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lookup = _Lookup(sent.value)
+            lookup = sent.value.lookup()
             for batch in batches:
                 yield _result(batch, _scan(batch.column("text"), lambda i, j, words: lookup.find(words)), ["id", "text"])
 
@@ -192,10 +206,9 @@ def without_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str =
     others = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in names if c != text_col))
     found = find_contamination(docs.select(others.alias("others"), F.col(text_col).alias("text")), benchmark, id_col="others", **options)
     found = found.where(~((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))))
-    blank = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     piece = lambda start, stop: F.substr(F.col("text"), start + 1, stop - start)
-    step = lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(piece(acc["at"], s["start"]))).alias("out"))
-    rest = F.aggregate("hits", blank, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(F.col("text"), acc["at"] + 1)))
+    done = gathered(F.col("hits"), "string", lambda at, s: (s["end"], F.lit(True), piece(at, s["start"])))
+    rest = F.concat(F.array_join(done["out"], ""), F.substr(F.col("text"), done["at"] + 1))
     new = F.when(F.size("hits") > 0, rest).otherwise(F.col("text"))
     fresh = found.select("id", new.alias("new"), (F.size("hits") > 0).alias("changed"))
     cols = []

@@ -157,7 +157,7 @@ _PII_KINDS = {
     ),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "len(g) BETWEEN 10 AND 15"),
     "iban": (
-        r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b",
+        rf"\b{pii.IBAN_FORM}\b",
         "len(replace(m, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform(string_split(substring(replace(m, ' ', ''), 5) || substring(replace(m, ' ', ''), 1, 4), ''), lambda c: CASE WHEN c BETWEEN 'A' AND 'Z' THEN ascii(c) - 55 ELSE ascii(c) - 48 END)), lambda a, v: CASE WHEN v > 9 THEN (a * 100 + v) % 97 ELSE (a * 10 + v) % 97 END) = 1",
     ),
 }

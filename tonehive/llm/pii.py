@@ -6,6 +6,7 @@ linear and does not recurse on long runs: loops are over single characters or bo
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,15 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 # A whole run of digits with single separators; of other lengths than 14 to 19 none can be a card.
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9_])"
+# Lengths of IBANs by country, as registered; other countries' are taken as far as they go.
+IBAN_LENGTHS = """
+15 NO; 16 BE; 18 DK FI FK FO GL NL SD; 19 MK SI; 20 AT BA EE KZ LT LU MN XK; 21 CH CR HR LI LV; 22 BG BH DE GB GE IE ME RS VA;
+23 AE GI IL IQ OM SO TL; 24 AD CZ ES MD PK RO SA SE SK TN VG; 25 LY PT ST; 26 IS TR; 27 BI DJ FR GR IT MC MR SM;
+28 AL AZ BY CY DO GT HN HU LB NI PL SV; 29 BR EG PS QA UA; 30 JO KW MU YE; 31 MT SC; 32 LC; 33 RU
+"""
+IBAN_FORMS = [(size, names) for size, *names in (group.split() for group in IBAN_LENGTHS.split(";"))]
+IBAN_FORM = "(?:" + "|".join(rf"(?:{'|'.join(names)})[0-9]{{2}}(?: ?[A-Z0-9]){{{int(size) - 4}}}" for size, names in IBAN_FORMS) + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})"
+IBAN = rf"(?<![A-Za-z0-9_]){IBAN_FORM}(?![A-Za-z0-9_])"
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
 
 # Words near a span that speak for or against its kind.
@@ -64,20 +73,40 @@ KINDS = [
 SPAN = "struct<start:int,kind:int,end:int,name:string>"
 
 
+#: Items gathered at a time: a growing array is copied with every item, so long lists grow in parts.
+_PART = 256
+
+
+def gathered(items: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column, Column]], start: int = 0) -> Column:
+    """struct<at, out>: a fold over `items` that keeps a number and gathers items of a kind.
+
+    `step` gives from (number, item) the next number, whether something is gathered, and what.
+    """
+    none = F.array().cast(f"array<{kind}>")
+    blank = F.struct(F.lit(start).alias("at"), none.alias("part"), F.array().cast(f"array<array<{kind}>>").alias("parts"))
+
+    def merge(acc: Column, x: Column) -> Column:
+        at, keep, new = step(acc["at"], x)
+        full = F.size(acc["part"]) >= _PART
+        part = F.when(keep, F.concat(F.when(full, none).otherwise(acc["part"]), F.array(new))).otherwise(acc["part"])
+        parts = F.when(keep & full, F.concat(acc["parts"], F.array(acc["part"]))).otherwise(acc["parts"])
+        return F.struct(at.alias("at"), part.alias("part"), parts.alias("parts"))
+
+    return F.aggregate(items, blank, merge, lambda acc: F.struct(acc["at"].alias("at"), F.flatten(F.concat(acc["parts"], F.array(acc["part"]))).alias("out")))
+
+
 def _spans(text: Column, number: int, kind: Kind) -> Column:
     """Spans of one kind: the pieces between the matches give the offsets, in code points."""
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     between = F.split(text, kind.pattern, -1)
     sized = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda m, piece: F.struct(F.char_length(piece).alias("gap"), F.char_length(m).alias("long"), m.alias("m")))
-    blank = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
+    def step(at: Column, x: Column) -> tuple[Column, Column, Column]:
+        start = at + x["gap"]
         end = start + x["long"]
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), F.lit(kind.name).alias("name"))
-        return F.struct(end.alias("at"), F.when(kind.valid(x["m"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        return end, kind.valid(x["m"]), F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), F.lit(kind.name).alias("name"))
 
-    return F.when(F.size(found) > 0, F.aggregate(sized, blank, step, lambda acc: acc["out"])).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.when(F.size(found) > 0, gathered(sized, SPAN, step)["out"]).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def find_spans(docs: DataFrame, text_col: str = "text", into: str = "pii") -> DataFrame:
@@ -144,15 +173,13 @@ def redact(docs: DataFrame, text_col: str = "text", least_score: float = 0.0, le
     if least_score > 0:
         chosen = F.zip_with("pii", scores(F.col("text"), F.col("pii")), lambda s, x: F.struct(s.alias("s"), x.alias("x")))
         rows = rows.withColumn("pii", F.transform(F.filter(chosen, lambda z: z["x"] >= least_score), lambda z: z["s"]))
-    blank = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        inside = s["start"] < acc["at"]
-        gap = F.substr(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])
-        tag = F.concat(F.lit("["), F.upper(s["name"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.array(gap, tag))).alias("out"))
+    def step(at: Column, s: Column) -> tuple[Column, Column, Column]:
+        gap = F.substr(F.col("text"), at + 1, s["start"] - at)
+        return F.greatest(at, s["end"]), s["start"] >= at, F.concat(gap, F.lit("["), F.upper(s["name"]), F.lit("]"))
 
-    rest = F.aggregate("pii", blank, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(F.col("text"), acc["at"] + 1)))
+    done = gathered(F.col("pii"), "string", step)
+    rest = F.concat(F.array_join(done["out"], ""), F.substr(F.col("text"), done["at"] + 1))
     new = F.when(F.size("pii") > 0, rest).otherwise(F.col("text"))
     fresh = rows.select("row", new.alias("new"), (F.size("pii") > 0).alias("changed"))
     cols = []
