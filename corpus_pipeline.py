@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonehive.llm import decontam, mixing, near_text, pii, quality
-from tonehive.llm.store import shared_dir
+from tonehive.llm.store import delete_at_end, scratch, shared_dir
 
 #: Documents of this similarity on sets of five-word shingles, in per cent, are near copies (op3 alone takes 85);
 #: under AGREE shared sub-signatures they are not compared, which loses about one pair in 8,000 at this similarity.
@@ -45,9 +45,20 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds tokens, domain posteriors and the rate at which a document is used; drops none."""
+    """Adds tokens, domain posteriors and the rate at which a document is used; drops none.
+
+    Columns are mix_tokens, mix_p_<domain> and mix_rate, with underscores added to a name that `docs` has.
+    """
     mixed = mixing.mix(docs, _table(spark, sf_dir, "labels"))
-    return mixed.select("row.*", F.col("tokens").alias("mix_tokens"), *(F.col("p")[i].alias(f"mix_p_{d}") for i, d in enumerate(sorted(mixing.DOMAINS))), F.col("rate").alias("mix_rate"))
+    taken = {c.lower() for c in docs.columns}
+
+    def fresh(name: str) -> str:
+        while name in taken:
+            name += "_"
+        return name
+
+    domains = enumerate(sorted(mixing.DOMAINS))
+    return mixed.select("row.*", F.col("tokens").alias(fresh("mix_tokens")), *(F.col("p")[i].alias(fresh(f"mix_p_{d}")) for i, d in domains), F.col("rate").alias(fresh("mix_rate")))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -63,10 +74,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table documents."""
+    """All stages over the table documents. Rows with nulls, empty and very long texts and repeated rows go through.
+
+    What a stage writes on its way is deleted when the stage is written, the stages' own tables with
+    the application.
+    """
     docs = _table(spark, sf_dir, "documents")
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        delete_at_end(spark, f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
     return docs

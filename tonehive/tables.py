@@ -31,6 +31,11 @@ def _on_file_system(spark: SparkSession, path: str, method: str, *args: object)
     getattr(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), method)(p, *args)
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Has a table deleted with the application."""
+    _on_file_system(spark, path, "deleteOnExit")
+
+
 def written(df: DataFrame) -> DataFrame:
     """`df` written once as Parquet in the shared folder and read back.
 
@@ -43,7 +48,7 @@ def written(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     if _scopes:
         _scopes[-1].append(path)
-    _on_file_system(spark, path, "deleteOnExit")
+    delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
