@@ -7,9 +7,10 @@ import duckdb
 import numpy as np
 import pytest
 
-from tonehive.llm import entry, html_main, merkle, mixing, near_vec, quality
+from tonehive.llm import entry, html_main, merkle, mixing, near_vec, pii, quality
 
 from .conftest import SF
+from .test_text_operators import LOWER, near_by_brute_force
 
 
 def vectors_by_brute_force(spark, x, **options):
@@ -380,3 +381,68 @@ def test_pipeline(spark):
     labels = dict(con.execute(f"select doc_id, quality from '{SF}/labels.parquet' where toxic = 0").fetchall())
     left = {r.doc_id for r in docs.select("doc_id").collect()}
     assert not [i for i in left if labels.get(i) == 0][3:]
+
+
+def test_pipeline_by_brute_force(spark):
+    """Every stage's rows and texts from loops over what its predecessor kept; judgements and spans from the reports that have tests of their own."""
+    import corpus_pipeline
+
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
+    good = {r.doc_id for r in quality.quality_report(source, spark.read.parquet(f"{SF}/labels.parquet")).where("kept").collect()}
+    text = {r.doc_id: r.text for r in source.collect() if r.doc_id in good}
+    component = near_by_brute_force(list(text.items()), 80)[1]
+    text = {i: t for i, t in text.items() if component[i] == i}
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = set()
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        w = pattern.findall(r.text.translate(LOWER))
+        windows |= {tuple(w[k : k + 13]) for k in range(max(1, len(w) - 12))} if w else set()
+    cut = {}
+    for i, t in text.items():
+        words = list(pattern.finditer(t.translate(LOWER)))
+        hit = set()
+        for k in range(len(words)):
+            for size in {len(w) for w in windows}:
+                if tuple(m[0] for m in words[k : k + size]) in windows:
+                    hit |= set(range(k, k + size)) if k + size <= len(words) else set()
+        if 20 * len(hit) >= len(words) and hit:
+            continue
+        left, at = [], 0
+        for k in sorted(hit):
+            if k - 1 not in hit:
+                left.append(t[at : words[k].start()])
+            if k + 1 not in hit:
+                at = words[k].end()
+        cut[i] = "".join(left) + t[at:]
+    rows = spark.createDataFrame(list(cut.items()), "doc_id long, text string")
+    want = {}
+    for r in pii.pii_report(rows).collect():
+        t, out, at = cut[r.doc_id], [], 0
+        for kind, a, b in (x.split(":") for x in r.spans.split(",") if x):
+            if int(a) >= at:
+                out.append(f"{t[at : int(a)]}[{kind.upper()}]")
+            at = max(at, int(b))
+        want[r.doc_id] = "".join(out) + t[at:]
+    assert {i: r.text for i, r in got.items()} == want and 0 < len(want) < len(text) + 1
+    assert all(r.n_chars == len(r.text) for i, r in got.items() if r.text != text[i])
+    total = sum(r.mix_tokens for r in got.values())
+    assert all(r.mix_tokens == len(re.findall(r"[^\x20\t-\r]+", r.text)) and r.mix_rate >= 0 for r in got.values()) and total > 0
+
+
+def test_pipeline_odd(spark, odd_docs, tmp_path):
+    """Nulls, empty and long texts, repeated rows, clashing names, and empty tables."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    docs = odd_docs.withColumn("mix_rate", F.lit("mine")).withColumn("Mix_Tokens", F.lit("mine"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, 1, None), (7, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "word"), (2, None), (None, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    with pytest.warns(UserWarning, match="of a target away"):
+        out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns[: len(docs.columns)] == docs.columns and {"mix_rate_", "mix_tokens_", "mix_p_clean"} <= set(out.columns)
+    kept = [r.doc_id for r in out.collect()]
+    assert len(kept) == len(set(kept)) and not {2, 3, 4, 7, 8} & set(kept) and {r.mix_rate for r in out.collect()} == {"mine"}
+    docs.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

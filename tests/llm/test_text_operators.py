@@ -31,14 +31,14 @@ def components(links, nodes):
     return {n: find(n) for n in nodes}
 
 
-def near_by_brute_force(rows):
+def near_by_brute_force(rows, percent=85):
     sets = {i: shingles(t) for i, t in rows}
     ids = sorted(sets)
     links = []
     for k, a in enumerate(ids):
         for b in ids[:k]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 links.append((a, b))
     return sets, components(links, ids)
 
