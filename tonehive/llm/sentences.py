@@ -5,8 +5,8 @@ A span is a run of consecutive units of at least `units` units and `least_words`
 shortest that begins at a unit, and the shortest that ends at one. Spans are hashed word by word
 and joined globally; units covered by a span that occurs earlier elsewhere are removed. A repeated
 passage of more than unit_words * (units - 1) words, cut at sentence ends, always holds a span,
-and its own spans cover it from end to end. Spans are the same if two independent 64-bit hashes of
-their words are: among 10 ** 12 spans the chance of one false match is under 10 ** -14.
+and its own spans cover it from end to end. Spans are the same if two independent hashes of their
+words are, 96 bits together: among 10 ** 11 spans the chance of one false match is under 10 ** -6.
 
 With a `window` (op10 has one) texts are cut at sentence ends and, in place of the fixed stride, before
 the word whose hash with the word before it is the least of some `window` neighbours. Whether a word
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonehive.llm.store import cut
@@ -104,22 +104,103 @@ class Units:
         return a, b, *hashes
 
 
+#: Spans that a task compares with each other before it hands them on, at about 40 bytes each.
+_HELD = 1 << 20
+_SEEN = ["h", "g", "id", "rk", "at"]
+
+
+class _Spans:
+    """Spans as columns: hashes h and g, the row by id (or null) and rk, and in one number the first unit, how many more it has, and a flag."""
+
+    def __init__(self, columns: list[np.ndarray], null: np.ndarray):
+        self.columns, self.null = columns, null
+
+    @staticmethod
+    def of(batch: pa.RecordBatch) -> _Spans:
+        ids = batch.column("id")
+        return _Spans([batch.column(c).to_numpy() if c != "id" else ids.fill_null(0).to_numpy() for c in _SEEN], np.asarray(ids.is_null()))
+
+    @staticmethod
+    def joined(parts: list[_Spans]) -> _Spans:
+        return _Spans([np.concatenate(x) for x in zip(*(p.columns for p in parts), strict=True)], np.concatenate([p.null for p in parts]))
+
+    def take(self, rows: np.ndarray) -> _Spans:
+        return _Spans([c[rows] for c in self.columns], self.null[rows])
+
+    def batch(self, names: list[str]) -> pa.RecordBatch:
+        columns = dict(zip(_SEEN, self.columns, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], mask=self.null) if c == "id" else pa.array(columns[c]) for c in names], names)
+
+    def firsts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of sorted spans: which begin a group of equal ones, and which are in the same place as the one that begins theirs."""
+        h, g, ident, rk, at = self.columns
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+        return new, (ident == ident[first]) & (rk == rk[first]) & (at == at[first]) & (self.null == self.null[first])
+
+    def combined(self) -> list[_Spans]:
+        """The first of each group of equal spans; and the later ones, flagged and under a hash of their row."""
+        order = np.argsort(self.columns[0], kind="stable")
+        h = self.columns[0][order]
+        twice = np.zeros(len(h), bool)
+        twice[1:] = h[1:] == h[:-1]
+        twice[:-1] |= twice[1:]
+        some = self.take(order[twice])
+        h, g, ident, rk, at = some.columns
+        some = some.take(np.lexsort((at, rk, ident, some.null, g, h)))
+        new, same = some.firsts()
+        later = some.take(~same)
+        later.columns[0] = mix(later.columns[2].view(np.uint64) + np.uint64(1)).view(np.int64)
+        later.columns[1] = later.columns[3]
+        later.columns[4] = later.columns[4] | 1
+        return [self.take(order[~twice]), some.take(new), later]
+
+
 def _occurrences(units: int, unit_words: int, least_words: int, window: int | None):
+    """Every span; those that a task holds together are compared first, so that a span that very many texts have is few rows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[_Spans] = []
+        size = 0
         for batch in batches:
+            ids = batch.column("id")
+            null, ids, rk = np.asarray(ids.is_null()), ids.fill_null(0).to_numpy(), batch.column("rk").to_numpy()
             for i, _, words in each_words(batch.column("text"), SPACE_SEPARATED):
                 cut_up = Units(words, unit_words, window)
                 a, b, h, g = cut_up.spans(units, least_words)
                 if not len(a):
                     continue
                 text = cut_up.text[a]
-                row = pa.array(text + i)
-                low = cut_up.bounds[text]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), batch.column("id").take(row), batch.column("rk").take(row), pa.array((a - low).astype(np.int32)), pa.array((b - low).astype(np.int32))], ["h", "g", "id", "rk", "a", "b"])
+                at = (a - cut_up.bounds[text]) << 32 | (b - a) << 1
+                held.append(_Spans([h.view(np.int64), (g >> np.uint64(32)).astype(np.uint32).view(np.int32), ids[text + i], rk[text + i], at], null[text + i]))
+                size += len(a)
+                if size >= _HELD:
+                    yield from (x.batch(_SEEN) for x in _Spans.joined(held).combined())
+                    held, size = [], 0
+        if held:
+            yield from (x.batch(_SEEN) for x in _Spans.joined(held).combined())
 
     return run
 
 
+def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans that are not the first of their group; rows come sorted, each group in one run."""
+    before: _Spans | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        spans = _Spans.of(batch)
+        carried = 0 if before is None else 1
+        if before is not None:
+            spans = _Spans.joined([before, spans])
+        new, same = spans.firsts()
+        due = ~same | (spans.columns[4] % 2 == 1)
+        due[:carried] = False
+        yield spans.take(due).batch(["id", "rk", "at"])
+        before = spans.take(np.flatnonzero(new)[-1:])
+
+
 def _without(unit_words: int, window: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,9 +216,10 @@ def _without(unit_words: int, window: int | None):
                         texts.append(batch.column("text")[t].as_py())
                         continue
                     gone = np.zeros(high - low + 1, np.int32)
-                    for s in spans[t].as_py():
-                        gone[s["a"]] += 1
-                        gone[s["b"] + 1] -= 1
+                    at = spans[t].values.to_numpy()
+                    first = at >> 32
+                    np.add.at(gone, first, 1)
+                    np.add.at(gone, first + ((at & 0xFFFFFFFF) >> 1) + 1, -1)
                     gone = np.cumsum(gone)[:-1] > 0
                     removed.append(int(gone.sum()))
                     raw = (batch.column("text")[t].as_py() or "").encode()
@@ -161,16 +243,13 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     are one document and come back alike. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    # Rows are told apart by id and text; the text's hash only has to tell apart rows of one id.
-    key: Column = F.xxhash64("text")
-    seen = rows.where("text is not null").withColumn("rk", key).mapInArrow(_occurrences(units, unit_words, least_words, window), "h long, g long, id long, rk long, a int, b int")
-    order = F.struct(F.col("id").isNull().alias("n"), "id", "rk", "a")
-    # Written first, here and below: a join of two shuffled sides is one whose frequent keys Spark can split.
-    often = cut(seen.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"))
-    again = cut(seen.join(often, "h"))
-    first = again.groupBy("h", "g").agg(F.min(order).alias("f"), F.max(order).alias("l")).where("f <> l").select("h", "g", F.col("f.id").alias("id0"), F.col("f.rk").alias("rk0"), F.col("f.a").alias("a0"))
-    later = again.join(cut(first), ["h", "g"]).where("not id <=> id0 or rk <> rk0 or a <> a0")
-    gone = later.groupBy(F.col("id").alias("_id"), F.col("rk").alias("_rk")).agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    both = rows.withColumn("rk", key).join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("rk") == F.col("_rk")), "left").select(F.col("id").alias("row"), "text", "spans")
+    # Rows are told apart by id and text; a text's hash only has to tell apart rows of one id.
+    keyed = rows.withColumn("rk", F.hash("text"))
+    seen = keyed.where("text is not null").mapInArrow(_occurrences(units, unit_words, least_words, window), "h long, g int, id long, rk int, at long")
+    # Tasks have combined equal spans, so a group is at most a row or two for each _HELD spans there are.
+    dealt = seen.repartition("h", "g").sortWithinPartitions("h", "g", F.col("id").asc_nulls_last(), "rk", "at")
+    later = dealt.mapInArrow(_later, "id long, rk int, at long")
+    gone = cut(later.groupBy(F.col("id").alias("_id"), F.col("rk").alias("_rk")).agg(F.collect_set("at").alias("spans")))
+    both = keyed.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("rk") == F.col("_rk")), "left").select(F.col("id").alias("row"), "text", "spans")
     out = both.mapInArrow(_without(unit_words, window), "row long, text string, n_units long, n_removed long")
     return out.select(F.col("row").alias("doc_id"), "n_units", "n_removed", "text")
