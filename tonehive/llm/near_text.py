@@ -40,7 +40,7 @@ SHINGLE = 5
 SIDE = 10  # sub-signatures in each of the two collections
 ROWS = 3  # minhashes in a sub-signature
 AGREE = 4  # of 2 * SIDE sub-signatures; a linked pair has 12.3 on average, under 4 once in 30,000
-BLOCK = 256
+BLOCK = 128
 
 
 def _signatures(side: int, rows: int):
