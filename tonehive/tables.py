@@ -10,6 +10,20 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _scopes: list[list[str]] = []
+#: Bytes that a batch for Python has at most while a table is written: buffers double as they grow, in every
+#: running task, beside the heap.
+BATCH_BYTES = 16 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,7 +59,8 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _small_batches(spark):
+        df.write.parquet(path)
     if _scopes:
         _scopes[-1].append(path)
     delete_at_end(spark, path)
