@@ -38,7 +38,7 @@ from tonehive.llm.textcore import SPACE_SEPARATED, each_words
 #: The fit ends when every target is met within TOLERANCE of it. Where no rates meet the targets it ends
 #: when LEVEL iterations lower the error by less than a share of GAIN; it warns then, and after ITERATIONS.
 ITERATIONS, TOLERANCE = 1000, 1e-5
-LEVEL, GAIN = 100, 0.005
+LEVEL, GAIN = 40, 0.005
 REWRITE = 16
 #: Decimals of a posterior.
 DECIMALS = 4
