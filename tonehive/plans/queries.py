@@ -8,14 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonehive.functions import romanise, text
+from tonehive.functions import audio
 from tonehive.functions.audio import frame_snr, rms
 from tonehive.operators import filters, manifest, ranks, segments, splits, stats
-from tonehive.sources import subtitles
-from tonehive.tables import written
+from tonehive.sources import files, subtitles
+from tonehive.streaming import ingest
+from tonehive.tables import new_folder, written
 
 RULES = filters.Rules(min_dur=20.0, max_dur=600.0, max_wps=2.6)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -352,6 +356,111 @@ def snr_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.select("vec_id", reason(True).alias("audio_reason"), reason(False).alias("text_reason"))
 
 
+# --- audio files: each vector is a clip of 64 samples, at 8,000 a second -----------------------
+
+
+def _clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    @F.pandas_udf("binary")
+    def as_wav(samples: pd.Series) -> pd.Series:
+        return samples.map(lambda x: audio.write_wav(8_000, np.asarray(x, float)))
+
+    return _table(spark, sf_dir, "embeddings").select("vec_id", as_wav("embedding").alias("wav"))
+
+
+def _header() -> list:
+    return ["h.rate", "h.channels", "h.bits", F.round("h.seconds", 6).alias("seconds")]
+
+
+@_query("""
+SELECT vec_id, CAST(8000 AS BIGINT) AS rate, CAST(1 AS BIGINT) AS channels, CAST(16 AS BIGINT) AS bits, round((vec_id % 5 * 8 + 32) / 8000.0, 6) AS seconds FROM embeddings
+""")
+def audio_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of clips with 2 ms of silence around them, and what their headers say."""
+    start = F.col("vec_id") % 3
+    cut = audio.slice_audio()("wav", start, start + F.col("vec_id") % 5, F.lit(2))
+    return _clips(spark, sf_dir).select("vec_id", audio.wav_header()(cut).alias("h")).select("vec_id", *_header())
+
+
+@_query("""
+SELECT vec_id, CAST(16000 AS BIGINT) AS rate, CAST(1 AS BIGINT) AS channels, CAST(16 AS BIGINT) AS bits, 0.008 AS seconds, 0.008 AS duration_s FROM embeddings
+""")
+def audio_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips at another rate: as long as before."""
+    done = _clips(spark, sf_dir).withColumn("n", audio.normalise_audio(16_000)("wav"))
+    return done.select("vec_id", F.round("n.duration_s", 6).alias("duration_s"), audio.wav_header()("n.wav").alias("h")).select("vec_id", *_header(), "duration_s")
+
+
+@_query("SELECT vec_id // 8 AS medium, count(*) AS clips, round(count(*) * 64 / 8000.0, 6) AS seconds FROM embeddings GROUP BY vec_id // 8")
+def audio_concatenated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clips = _clips(spark, sf_dir).withColumn("medium", F.floor(F.col("vec_id") / 8))
+    joined = audio.concatenated(clips, "medium", "vec_id", "wav")
+    return joined.select("medium", "clips", audio.wav_header()("wav").alias("h")).select("medium", "clips", F.round("h.seconds", 6).alias("seconds"))
+
+
+# --- files, written in the shared folder and read back ------------------------------------------
+
+
+@_query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(text, '') AS text, coalesce(source, '') AS source FROM documents")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{new_folder(spark)}/documents"
+    files.write_csv(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), path)
+    return files.read_csv(spark, path)
+
+
+@_query("SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders")
+def csv_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pass writes a manifest for each status."""
+    path = f"{new_folder(spark)}/orders"
+    files.write_csv(_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus"), path, by="o_orderstatus")
+    return files.read_csv(spark, path, "o_orderkey bigint, o_orderpriority string, o_orderstatus string")
+
+
+@_query("SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, upper(n_name) AS loud FROM nation")
+def csv_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table rewritten with one more column, in the place from which it is read."""
+    path = f"{new_folder(spark)}/nation.csv"
+    files.write_one_csv(_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), path)
+    files.replace_csv(files.read_csv(spark, path).withColumn("loud", F.upper("n_name")), path)
+    return files.read_csv(spark, path)
+
+
+@_query("SELECT DISTINCT n_regionkey FROM nation")
+def folder_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names relative to the folder listed; contents are not read."""
+    path = f"{new_folder(spark)}/nation"
+    _table(spark, sf_dir, "nation").select("n_name", "n_regionkey").write.partitionBy("n_regionkey").parquet(path)
+    name = F.regexp_extract("file", "^n_regionkey=([0-9]+)/part-[^/]*$", 1)
+    return files.listing(spark, path, "*.parquet").select(name.cast("long").alias("n_regionkey")).distinct()
+
+
+@_query("SELECT o_orderkey, o_orderstatus, true AS fits FROM orders")
+def sharded_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row in a file of at most 500."""
+    path = f"{new_folder(spark)}/orders"
+    files.write_shards(_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), path, 500, by="o_orderstatus")
+    rows = spark.read.parquet(path).select("o_orderkey", "o_orderstatus", F.col("_metadata.file_path").alias("f"))
+    sizes = rows.groupBy("f").agg((F.count("*") <= 500).alias("fits"))
+    return rows.join(sizes, "f").select("o_orderkey", "o_orderstatus", "fits")
+
+
+@_query("SELECT item_id, text FROM benchmark")
+def streamed_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests in a landing folder, taken up by a stream; a second run takes nothing twice."""
+    base = new_folder(spark)
+    files.write_csv(_table(spark, sf_dir, "benchmark").select("item_id", "text"), f"{base}/landing")
+    for _ in range(2):
+        ingest.land(ingest.manifests(spark, f"{base}/landing", "item_id string, text string"), f"{base}/landed", f"{base}/mark").awaitTermination()
+    return spark.read.parquet(f"{base}/landed").select(F.col("item_id").cast(_table(spark, sf_dir, "benchmark").schema["item_id"].dataType), "text")
+
+
+@_query("SELECT doc_id, source AS title, lang AS kind, CAST(2 AS INTEGER) AS entries FROM documents")
+def header_patched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header entries overwritten and added."""
+    old, new = F.create_map(F.lit("Kind"), F.lit("captions")), F.create_map(F.lit("Kind"), F.col("lang"), F.lit("Title"), F.col("source"))
+    docs = _table(spark, sf_dir, "documents").withColumn("h", subtitles.patched(old, new))
+    return docs.select("doc_id", F.col("h")["Title"].alias("title"), F.col("h")["Kind"].alias("kind"), F.size("h").alias("entries"))
+
+
 # --- the text stages of the packaging pipeline in one plan -------------------------------------
 
 
@@ -373,6 +482,27 @@ def packaged_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.random_split(kept, "doc_id").groupBy("split").agg(F.count("*").alias("n"), F.round(F.sum("duration_s") / 3600, 2).alias("hours"))
 
 
+@_query(f"""
+WITH m AS (SELECT doc_id, n_chars / 15.0 AS duration_s, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS text FROM documents),
+c AS (SELECT *, CASE WHEN text = '' THEN 0 ELSE len(string_split(text, ' ')) END / duration_s AS wps FROM m WHERE text <> ''),
+k AS (SELECT * FROM c WHERE {_REASON} IS NULL)
+SELECT doc_id, text, round(duration_s, 6) AS duration_s, round(wps, 6) AS wps, {_SPLIT} FROM (SELECT *, row_number() OVER (ORDER BY md5('42:' || doc_id)) AS rn, count(*) OVER () AS n FROM k)
+""")
+def packaging_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages but audio over transcripts, written as a dataset with its reports; the samples as read back."""
+    from tonehive.plans import package
+
+    rules = filters.Rules(min_dur=RULES.min_dur, max_dur=RULES.max_dur, max_wps=RULES.max_wps, min_snr=None)
+    nothing = F.lit(None)
+    clips = _table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("file"), "text", nothing.cast("binary").alias("wav"), _seconds().alias("duration_s"), nothing.cast("double").alias("snr_db")
+    )
+    out = new_folder(spark)
+    package.run(clips, package.Config("transcripts", skip_normalization=True, rules=rules), out)
+    samples = spark.read.parquet(f"{out}/data")
+    return samples.select(F.col("audio.path").cast("long").alias("doc_id"), "text", F.round("duration_s", 6).alias("duration_s"), F.round("wps", 6).alias("wps"), "split")
+
+
 def queries() -> dict[str, Query]:
     return dict(_found)
 

@@ -50,6 +50,16 @@ def delete_at_end(spark: SparkSession, path: str) -> None:
     _on_file_system(spark, path, "deleteOnExit")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """An empty folder in the shared one, deleted with the `scratch` around the call or with the application."""
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    _on_file_system(spark, path, "mkdirs")
+    if _scopes:
+        _scopes[-1].append(path)
+    delete_at_end(spark, path)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """`df` written once as Parquet in the shared folder and read back.
 
