@@ -10,20 +10,17 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _scopes: list[list[str]] = []
-#: Bytes that a batch for Python has at most while a table is written: buffers double as they grow, in every
-#: running task, beside the heap.
-BATCH_BYTES = 16 << 20
-_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes that a batch for Python has at most once a table has been written: buffers double as they grow, in
+#: every running task, beside the heap.
+BATCH_BYTES = 8 << 20
 
 
-@contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.set(_BATCH, before)
+def limit_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit, for the job at hand and for those that read its table."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -69,8 +66,8 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    with _small_batches(spark):
-        df.write.parquet(path)
+    limit_batches(spark)
+    df.write.parquet(path)
     if _scopes:
         _scopes[-1].append(path)
     delete_at_end(spark, path)
