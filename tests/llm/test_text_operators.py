@@ -353,6 +353,37 @@ def test_language_of_copies_and_bounds(spark):
         langid.identify(many)
 
 
+@pytest.mark.parametrize("most", [0, 60])
+def test_rare_grams_are_in_the_models(spark, most):
+    """Grams beyond what is sent to the tasks count in every cross-entropy, by the formula over whole texts."""
+    import math
+    import zlib
+
+    texts = {lang: [f"{' '.join(words[(7 * i + 3 * j) % len(words)] + words[(i + j) % len(words)] for j in range(6))} {i}" for i in range(40)] for lang, words in (("en", "the cat sat with other mats".split()), ("de", "der hund schlief auf einer matte".split()))}
+    rows = [(k, t, lang) for k, (t, lang) in enumerate((t, lang) for lang in texts for t in texts[lang])] + [(900, "quite unlike Ж anything", None), (901, None, "en"), (902, "12 !", "de")]
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, lang string")
+    taught = lambda i: zlib.crc32(str(i).encode()) % 4 != 2
+    models = {lang: kneser_ney_by_hand([t for i, t, x in rows + rows[:3] if t and x == lang and taught(i)]) for lang in texts}
+    found = langid.identify(df, most).collect()
+    assert len(found) == len(rows) + 3
+    got = {r.doc_id: r for r in found}
+    for i, text, _ in rows:
+        t = "   " + re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in (text or "").lower()))
+        if not any(c.isalpha() for c in t):
+            assert got[i].lang_pred == "und" and got[i].cross_entropy is None
+            continue
+        ce = {lang: -sum(math.log(p(t[j - 3 : j + 1])) for j in range(3, len(t))) / (len(t) - 3) for lang, p in models.items()}
+        assert abs(min(ce.values()) - got[i].cross_entropy) < 1e-5
+        assert got[i].lang_pred == min(ce, key=ce.get)
+    assert sorted(map(tuple, langid.identify(df).collect()), key=str) == sorted(map(tuple, found), key=str)
+
+
+def test_any_number_of_languages(spark):
+    rows = [(8 * i + k, f"{chr(0x4E00 + i)}{chr(0x4E00 + i + 1)} " * 5, f"l{i:03}") for i in range(130) for k in range(8)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), languages=None).collect()
+    assert len(got) == len(rows) and all(r.lang_pred == f"l{r.doc_id // 8:03}" for r in got)
+
+
 def test_language_odd(spark, odd_docs):
     got = {r.doc_id: r for r in langid.identify(odd_docs).collect()}
     assert {got[i].lang_pred for i in (4, 5, 6)} == {"und"} and got[4].score == 0

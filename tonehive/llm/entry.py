@@ -30,7 +30,7 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.identify(_table(spark, sf_dir, "documents"))
+    return langid.identify(_table(spark, sf_dir, "documents"), languages=None)
 
 
 def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

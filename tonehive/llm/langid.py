@@ -6,9 +6,11 @@ probabilities for each, so that a character costs one binary search; grams that
 seen fall back through the lower orders. The language with the least cross-entropy a character
 wins; a cross-entropy far above what the language's own training texts show marks a rejection.
 
-Grams are counted over all training texts, on the cluster. What the models keep of them is bounded:
-the frequent ones, TOTAL_GRAMS in all, of LANGUAGES languages at most. So what is sent to the driver
-and to the tasks has at most LANGUAGES numbers for each of TOTAL_GRAMS grams, 200 MB.
+Grams are counted over all training texts, on the cluster, and all of them are in the models. Up to
+TOTAL_GRAMS of them, of LANGUAGES languages at most, the models are sent to the tasks whole. Beyond,
+they stay tables: the most frequent grams are sent with their log probabilities, and the grams of the
+texts that are not among those are joined with the tables. Both give the same probabilities; what is
+sent to the driver and to the tasks has at most TOTAL_GRAMS * LANGUAGES numbers, 200 MB.
 """
 
 from __future__ import annotations
@@ -26,9 +28,9 @@ from tonehive.llm.store import cut
 from tonehive.llm.textcore import mix
 
 ORDER = 4
-#: Four-grams that all models keep together; each language has an equal share, of those that occur most.
+#: Four-grams of all models together that are sent to the tasks; the others are looked up by joins.
 TOTAL_GRAMS = 500_000
-#: Languages that can be learned; a table with more of them is refused.
+#: Languages whose models are sent whole; by default a table with more of them is refused.
 LANGUAGES = 100
 #: Distinct grams that a task counts before it hands them on.
 _HELD = 1 << 20
@@ -146,8 +148,8 @@ class Identifier:
         table = np.stack([np.log(m.probability(union)) for m in models], axis=1).astype(np.float32)
         return Identifier([c[0] for c in counted], models, mix(union), table)
 
-    def cross_entropy(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(nats a character by language, characters, has a letter) of each text."""
+    def nats(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(nats by language, characters, has a letter) of each text."""
         code, spans = normalised(texts)
         keys, text = grams(code, spans)
         at, found = _find(self.hashes, keys)
@@ -161,7 +163,7 @@ class Identifier:
                 value[~found] = np.log(model.probability(missed))[which]
             total[:, k] = np.bincount(text, value, minlength=len(texts))
         letter = np.bincount(text, (keys & np.uint64(0xFFFF)) != 0x20, minlength=len(texts)) > 0
-        return -total / np.maximum(count, 1)[:, None], count, letter
+        return -total, count, letter
 
 
 def _in_pieces(column: pa.Array) -> Iterator[list[str | None]]:
@@ -204,85 +206,248 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from counts()
 
 
-def train(texts: DataFrame, total_grams: int = TOTAL_GRAMS) -> Identifier | None:
-    """Models from (text, lang); None if there is no text with a letter.
-
-    All texts are counted, copies as often as they occur. Of the grams of each language those of at
-    least 2 ** b occurrences are kept, with the least b at which they are no more than the language's
-    share of `total_grams`.
-    """
+def count_grams(texts: DataFrame) -> DataFrame:
+    """lang, g, n: how often each gram occurs in all (text, lang), copies as often as they occur."""
     rows = texts.where("text is not null and lang is not null").select("text", "lang")
-    counted = cut(rows.mapInArrow(_counted, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")))
-    power = F.floor(F.log2("n") + 1e-9).cast("int")
-    names = [r.lang for r in counted.select("lang").distinct().limit(LANGUAGES + 1).collect()]
-    if len(names) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages to learn")
-    if not names:
-        return None
-    sizes: dict[str, dict[int, int]] = {}
-    for r in counted.groupBy("lang", power.alias("b")).agg(F.count("*").alias("k")).collect():  # at most 64 rows a language
-        sizes.setdefault(r.lang, {})[r.b] = r.k
-    least = []
-    for lang, by in sizes.items():
-        kept, b = 0, 64
-        while b > 0 and kept + by.get(b - 1, 0) <= max(1, total_grams // len(names)):
-            b -= 1
-            kept += by.get(b, 0)
-        least.append((lang, b))
-    spark = texts.sparkSession
-    bound = spark.createDataFrame(least, "lang string, least int")
-    got = counted.join(F.broadcast(bound), "lang").where(power >= F.col("least")).select("lang", "g", "n").orderBy("lang", "g").toArrow()
+    return cut(rows.mapInArrow(_counted, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")))
+
+
+def train(counted: DataFrame, names: list[str]) -> Identifier | None:
+    """Models of the languages in `names` from all of their grams; None without languages."""
+    got = counted.orderBy("lang", "g").toArrow()
     lang, keys, counts = np.array(got["lang"].to_pylist(), dtype=object), got["g"].to_numpy().view(np.uint64), got["n"].to_numpy()
     models = []
     for name in sorted(names):
         own = lang == name
         order = np.argsort(keys[own])
-        if ((keys[own] & np.uint64(0xFFFF)) != 0x20).any():
-            models.append((name, keys[own][order], counts[own][order]))
+        models.append((name, keys[own][order], counts[own][order]))
     return Identifier.build(models) if models else None
 
 
+def _outcome(names: list[str], total: np.ndarray, count: np.ndarray, letter: np.ndarray, taught: list[str | None]) -> list[list]:
+    """Prediction, score, cross-entropy and that of the taught language, from the nats of whole texts by language."""
+    ce = total / np.maximum(count, 1)[:, None]
+    best = ce.argmin(1)
+    z = -ce * np.minimum(count, EVIDENCE)[:, None]
+    p = np.exp(z - z.max(1, keepdims=True))
+    p = p[np.arange(len(p)), best] / p.sum(1)
+    low = ce[np.arange(len(ce)), best]
+    at = {name: k for k, name in enumerate(names)}
+    out: list[list] = [[], [], [], []]
+    for i, lang in enumerate(taught):
+        known = bool(letter[i])
+        out[0].append(names[best[i]] if known else UNDETERMINED)
+        out[1].append(round(float(p[i]), 6) if known else 0.0)
+        out[2].append(round(float(low[i]), 6) if known else None)
+        out[3].append(float(ce[i, at[lang]]) if known and lang in at else None)
+    return out
+
+
+def _predicted(batch: pa.RecordBatch, columns: list[list]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.float64(), pa.float64(), pa.float64())
+    arrays = [batch.column(c) for c in ("doc_id", "held_out", "taught")] + [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "taught", "lang_pred", "score", "cross_entropy", "own"])
+
+
 def _predictor(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Identifier | None = sent.value
         for batch in batches:
-            names, scores, entropies, own = [], [], [], []
+            columns: list[list] = [[], [], [], []]
             taught = batch.column("taught").to_pylist()
             for texts in _in_pieces(batch.column("text")):
                 if model is None:
-                    names += [UNDETERMINED] * len(texts)
-                    scores += [0.0] * len(texts)
-                    entropies += [None] * len(texts)
-                    own += [None] * len(texts)
-                    continue
-                ce, count, letter = model.cross_entropy(texts)
-                best = ce.argmin(1)
-                z = -ce * np.minimum(count, EVIDENCE)[:, None]
-                p = np.exp(z - z.max(1, keepdims=True))
-                p = p[np.arange(len(p)), best] / p.sum(1)
-                low = ce[np.arange(len(ce)), best]
-                at = {name: k for k, name in enumerate(model.names)}
-                for i in range(len(texts)):
-                    known = bool(letter[i])
-                    lang = taught[len(names)]
-                    names.append(model.names[best[i]] if known else UNDETERMINED)
-                    scores.append(round(float(p[i]), 6) if known else 0.0)
-                    entropies.append(round(float(low[i]), 6) if known else None)
-                    own.append(float(ce[i, at[lang]]) if known and lang in at else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), batch.column("taught"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(entropies, pa.float64()), pa.array(own, pa.float64())], ["doc_id", "held_out", "taught", "lang_pred", "score", "cross_entropy", "own"])
+                    parts = [[UNDETERMINED] * len(texts), [0.0] * len(texts), [None] * len(texts), [None] * len(texts)]
+                else:
+                    done = len(columns[0])
+                    parts = _outcome(model.names, *model.nats(texts), taught[done : done + len(texts)])
+                for column, part in zip(columns, parts, strict=True):
+                    column += part
+            yield _predicted(batch, columns)
+
+    return run
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, max(rows.shape[1], 1)), pa.int32()), pa.array(rows.ravel(), pa.float64()))
+
+
+def _matrix(column: pa.ListArray, width: int, missing: float = 0.0) -> np.ndarray:
+    """Rows of a column of lists of `width` numbers; a null is a row of `missing`."""
+    out = np.full((len(column), width), missing)
+    given = np.asarray(column.is_valid())
+    out[given] = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return out
+
+
+def _spread(column: pa.ListArray, field: str, width: int) -> np.ndarray:
+    """Rows by language of a column of lists of (k, ...); languages that are not listed have 0."""
+    out = np.zeros((len(column), width))
+    row = np.repeat(np.arange(len(column)), pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+    listed = column.flatten()
+    out[row, listed.field("k").to_numpy(zero_copy_only=False)] = listed.field(field).to_numpy(zero_copy_only=False)
+    return out
+
+
+def _slices(batch: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
+    step = max(1, (1 << 20) // max(width, 1))
+    for i in range(0, batch.num_rows, step):
+        yield batch.slice(i, step)
+
+
+def _level(discount: np.ndarray):
+    """g, p: probabilities by language of grams of one order, from their counts, their contexts and the next lower order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in _slices(whole, len(discount)):
+                n = _spread(batch.column("own"), "n", len(discount))
+                total, kinds = (_spread(batch.column("context"), f, len(discount)) for f in ("total", "kinds"))
+                lower = _matrix(batch.column("lower"), len(discount), 1.0 / ALPHABET)
+                divisor = np.maximum(total, 1)
+                p = np.where(total > 0, np.maximum(n - discount, 0) / divisor + discount * kinds / divisor * lower, lower)
+                yield pa.RecordBatch.from_arrays([batch.column("g"), _lists(p)], ["g", "p"])
 
     return run
 
 
+def _sums(width: int):
+    """pk, rare: nats by language of the rare grams of each text; a task's rows come sorted by text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, np.zeros(width)
+        for whole in batches:
+            for batch in _slices(whole, width):
+                pk = batch.column("pk").to_numpy()
+                first = np.flatnonzero(np.r_[True, pk[1:] != pk[:-1]])
+                sums = np.add.reduceat(-np.log(_matrix(batch.column("p"), width)) * batch.column("n").to_numpy()[:, None], first, axis=0)
+                if last == pk[0]:
+                    sums[0] += held
+                elif last is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), _lists(held[None])], ["pk", "rare"])
+                last, held = int(pk[-1]), sums[-1].copy()
+                if len(first) > 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(pk[first[:-1]]), _lists(sums[:-1])], ["pk", "rare"])
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), _lists(held[None])], ["pk", "rare"])
+
+    return run
+
+
+def _scanned(sent, width: int):
+    """Nats by language of each text's frequent grams, and its other grams with how often they occur."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, table = sent.value
+        for batch in (part for whole in batches for part in _slices(whole, width)):
+            sums, counts, letters, rare, times, sizes = [], [], [], [], [], []
+            for texts in _in_pieces(batch.column("text")):
+                code, spans = normalised(texts)
+                keys, text = grams(code, spans)
+                at = np.minimum(np.searchsorted(hot, keys), max(len(hot) - 1, 0))
+                found = hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
+                sums.append(np.stack([np.bincount(text[found], table[at[found], k], len(texts)) for k in range(width)], axis=1))
+                counts.append(spans[:, 1] - spans[:, 0])
+                letters.append(np.bincount(text, (keys & np.uint64(0xFFFF)) != 0x20, len(texts)) > 0)
+                key, own = keys[~found], text[~found]
+                order = np.lexsort((key, own))
+                key, own = key[order], own[order]
+                first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1])][: len(key)])
+                rare.append(key[first])
+                times.append(np.diff(np.r_[first, len(key)]))
+                sizes.append(np.bincount(own[first], minlength=len(texts)))
+            if not sums:
+                continue
+            ends = pa.array(np.r_[0, np.cumsum(np.concatenate(sizes))], pa.int32())
+            listed = pa.StructArray.from_arrays([pa.array(np.concatenate(rare).view(np.int64)), pa.array(np.concatenate(times).astype(np.int64))], ["g", "n"])
+            own_columns = [_lists(np.concatenate(sums)), pa.array(np.concatenate(counts).astype(np.int64)), pa.array(np.concatenate(letters)), pa.ListArray.from_arrays(ends, listed)]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "held_out", "taught")] + own_columns, ["doc_id", "held_out", "taught", "hot", "chars", "letter", "others"])
+
+    return run
+
+
+def _judged(names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in _slices(whole, len(names)):
+                total = _matrix(batch.column("hot"), len(names)) + _matrix(batch.column("rare"), len(names))
+                columns = _outcome(names, total, batch.column("chars").to_numpy(), np.asarray(batch.column("letter")), batch.column("taught").to_pylist())
+                yield _predicted(batch, columns)
+
+    return run
+
+
+def _lowest(n: int) -> Column:
+    """The last `n` characters of a packed gram."""
+    return F.col("g").bitwiseAND(F.lit((1 << 16 * n) - 1 if n < ORDER else -1))
+
+
+class _Tables:
+    """Models of any number of grams as tables: of each order its grams, its contexts and its discounts by language."""
+
+    def __init__(self, counted: DataFrame, names: list[str]):
+        spark = counted.sparkSession
+        numbered = spark.createDataFrame(list(enumerate(names)), "k int, lang string")
+        self.width = len(names)
+        self.orders: dict[int, tuple[DataFrame, DataFrame, np.ndarray]] = {}
+        now = cut(counted.join(F.broadcast(numbered), "lang").select("k", "g", "n"))
+        self.counts = now
+        for order in range(ORDER, 0, -1):
+            discount = np.full(self.width, 0.5)
+            for r in now.where("n <= 2").groupBy("k").agg(F.sum((F.col("n") == 1).cast("long")).alias("once"), F.sum((F.col("n") == 2).cast("long")).alias("twice")).collect():
+                if r.once and r.twice:
+                    discount[r.k] = r.once / (r.once + 2 * r.twice)
+            own = now.groupBy("g").agg(F.collect_list(F.struct("k", "n")).alias("own"))
+            totals = now.groupBy(F.shiftrightunsigned("g", 16).alias("c"), "k").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+            self.orders[order] = own, totals.groupBy("c").agg(F.collect_list(F.struct("k", "total", "kinds")).alias("context")), discount
+            if order > 1:
+                now = cut(now.groupBy("k", _lowest(order - 1).alias("g")).agg(F.count("*").alias("n")))
+
+    def probabilities(self, keys: DataFrame) -> DataFrame:
+        """g, p: probabilities by language of the distinct grams `g`."""
+        lower = None
+        for order in range(1, ORDER + 1):
+            own, contexts, discount = self.orders[order]
+            rows = keys.select(_lowest(order).alias("g")).distinct().withColumn("c", F.shiftrightunsigned("g", 16)).withColumn("l", _lowest(order - 1))
+            rows = rows.join(own, "g", "left").join(contexts, "c", "left")
+            rows = rows.withColumn("lower", F.lit(None).cast("array<double>")) if lower is None else rows.join(lower.select(F.col("g").alias("l"), F.col("p").alias("lower")), "l", "left")
+            lower = cut(rows.select("g", "own", "context", "lower").mapInArrow(_level(discount), "g long, p array<double>"))
+        return lower
+
+
+def _by_tables(read: DataFrame, counted: DataFrame, names: list[str], most: int, schema: str, kind: str) -> DataFrame:
+    """Predictions where the models are too large to be sent: at most `most` frequent grams are, the others are joined."""
+    tables = _Tables(counted, names)
+    often = tables.counts.groupBy("g").agg(F.sum("n").alias("n")).select("g", F.floor(F.log2("n") + 1e-9).cast("int").alias("b"))
+    sizes = {r.b: r.k for r in often.groupBy("b").agg(F.count("*").alias("k")).collect()}  # at most 64 rows
+    kept, least = 0, 64
+    while least > 0 and kept + sizes.get(least - 1, 0) <= most:
+        least -= 1
+        kept += sizes.get(least, 0)
+    got = tables.probabilities(often.where(F.col("b") >= least).select("g")).toArrow()
+    keys = got["g"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    table = -np.log(_matrix(got["p"].combine_chunks(), len(names))[order])
+    sent = read.sparkSession.sparkContext.broadcast((keys[order], table.astype(np.float32)))
+    scan = read.mapInArrow(_scanned(sent, len(names)), f"doc_id {kind}, held_out boolean, taught string, hot array<double>, chars long, letter boolean, others array<struct<g:long,n:long>>")
+    scanned = cut(scan.withColumn("pk", F.monotonically_increasing_id()))  # fixed by being written
+    others = scanned.select("pk", F.inline("others"))
+    rare = others.join(tables.probabilities(others.select("g")), "g").select("pk", "g", "n", "p")
+    sums = rare.repartition("pk").sortWithinPartitions("pk", "g").select("pk", "n", "p").mapInArrow(_sums(len(names)), "pk long, rare array<double>")
+    return cut(scanned.drop("others").join(sums, "pk", "left").mapInArrow(_judged(names), schema))
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, total_grams: int = TOTAL_GRAMS) -> DataFrame:
+def identify(docs: DataFrame, total_grams: int = TOTAL_GRAMS, languages: int | None = LANGUAGES) -> DataFrame:
     """doc_id, held_out, lang_pred, score, cross_entropy and rejected for every row of documents.
 
     Models are learned from texts with a language whose crc32(doc_id) mod 4 is not 2; a null doc_id
-    is neither held out nor learned from. A prediction depends on the text alone. A text is rejected
+    is neither held out nor learned from. All their grams count; if there are more than `total_grams`,
+    the rarer ones are looked up by joins. A table with more than `languages` languages is refused;
+    None takes any number of them. A prediction depends on the text alone. A text is rejected
     if its cross-entropy is DEVIATIONS deviations above the mean of all training texts of the
     language. A text that is null, empty or without a letter is `und` with score 0 and rejected; so
     is everything if nothing can be learned. Texts are read whole, in pieces of many texts or of one
@@ -291,12 +456,20 @@ def identify(docs: DataFrame, total_grams: int = TOTAL_GRAMS) -> DataFrame:
     """
     rows = docs.select("doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id")))
     teaches = ~F.col("held_out") & F.col("doc_id").isNotNull()
-    model = train(rows.where(teaches), total_grams)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    counted = count_grams(rows.where(teaches))
+    lettered = counted.where(F.col("g").bitwiseAND(F.lit(0xFFFF)) != 0x20).select("lang").distinct()
+    names = sorted(r.lang for r in (lettered if languages is None else lettered.limit(languages + 1)).collect())
+    if languages is not None and len(names) > languages:
+        raise ValueError(f"more than {languages} languages to learn")
     kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, held_out boolean, taught string, lang_pred string, score double, cross_entropy double, own double"
     read = rows.select("doc_id", "held_out", F.when(teaches, F.col("lang")).alias("taught"), "text")
-    found = cut(read.mapInArrow(_predictor(sent), f"doc_id {kind}, held_out boolean, taught string, lang_pred string, score double, cross_entropy double, own double"))
+    if len(names) <= LANGUAGES and counted.count() <= total_grams:
+        sent = docs.sparkSession.sparkContext.broadcast(train(counted, names))
+        found = cut(read.mapInArrow(_predictor(sent), schema))
+    else:
+        found = _by_tables(read, counted, names, total_grams if len(names) <= LANGUAGES else total_grams * LANGUAGES // len(names), schema, kind)
     spread = found.where("own is not null").groupBy(F.col("taught").alias("_l")).agg((F.avg("own") + DEVIATIONS * F.greatest(F.coalesce(F.stddev_pop("own"), F.lit(0.0)), F.lit(0.05))).alias("_limit"))
-    out = found.join(F.broadcast(spread), F.col("lang_pred") == F.col("_l"), "left")  # at most LANGUAGES rows
+    out = found.join(F.broadcast(spread), F.col("lang_pred") == F.col("_l"), "left")  # a row for each language
     rejected = F.col("cross_entropy").isNull() | F.coalesce(F.col("cross_entropy") > F.col("_limit"), F.lit(False))
     return out.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", rejected.alias("rejected"))
