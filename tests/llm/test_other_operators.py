@@ -161,6 +161,18 @@ def test_copies_of_a_page_are_no_repeats(spark):
     assert all(got[20 + i].endswith(f"copy{i}") for i in range(3))
 
 
+def test_text_beside_an_article_is_settled_by_repeats(spark):
+    """A small article element takes no other text of its page; what the host repeats goes, and so do lines too short to be judged."""
+    notice = "<div>This site shows the very same long line of words on every page it has</div>"
+    own = {i: " ".join(f"own{i}_{k}" for k in range(12)) for i in range(4)}
+    rows = [(i, f"http://h.example/{i}", f"<div>Site {i}</div><nav>Menu</nav>{notice}<div>{own[i]}</div><div>and {i}</div><article>Teaser {i}</article>") for i in range(3)]
+    rows += [(3, "http://h.example/3", f"{notice}<div>{own[3]}</div>")]
+    rows += [(10 + i, f"http://k.example/{i}", f"<nav>Menu</nav><article><p>{own[0]}</p><p>Body {i}</p></article>") for i in range(2)]
+    got = {r.page_id: r.text for r in html_main.extract_main(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"{own[i]}\nand {i}\nTeaser {i}" for i in range(3)) and got[3] == own[3]
+    assert all(got[10 + i] == f"{own[0]}\nBody {i}" for i in range(2))
+
+
 def test_fixity_against_sql(spark, duck):
     want = sorted(map(str, duck.execute(entry.OP1_SQL).fetchall()))
     df = entry.op1_warc_merkle_fixity(spark, SF).select("page_id", "status", "expected", "found", "times")

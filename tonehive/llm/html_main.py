@@ -2,13 +2,14 @@
 
 A page is read once, into blocks of text. Blocks in menus, headers, footers, sidebars, forms, adverts,
 notices and reader comments are boilerplate; blocks in an article or main element are main text.
-What is in neither is undecided.
+What is in neither is undecided, on pages with such an element as well as on others.
 
-The undecided is settled by a suffix array of each host that has such pages: the token streams of its
-pages (without the main elements) are laid end to end and their suffixes sorted. The longest prefix
-that a suffix shares with a suffix of a page of another text is the least of the common prefixes
-between them, so one pass over neighbours finds it. Prefixes of `depth` words or more are substrings
-that the site repeats; an undecided block that they cover for the most part goes, unique runs stay.
+The undecided is settled by a suffix array of each host: the token streams of all its pages (without
+the main elements) are laid end to end and their suffixes sorted. The longest prefix that a suffix
+shares with a suffix of a page of another text is the least of the common prefixes between them, so
+one pass over neighbours finds it. Prefixes of `depth` words or more are substrings that the site
+repeats; an undecided block that they cover for the most part goes, unique runs stay. Beside an article
+or main element a run of fewer than DEPTH words, which no repeat can show to be the site's, is not kept.
 
 Suffixes are kept to `span` words, since longer repeats are covered by those of their later words
 too. Equal ones are one row with the least and greatest of their pages' texts before anything is
@@ -164,55 +165,52 @@ def blocks(html: str | None) -> list[tuple[str, int]]:
 
 
 def main_of(found: list[tuple[str, int]], covered: set[int] | None = None) -> str:
-    """Text of the main blocks, or if there are none of the undecided ones that are not covered."""
-    main = [text for text, part in found if part == MAIN]
-    if not main:
-        main = [text for i, (text, part) in enumerate(found) if part == UNDECIDED and i not in (covered or ())]
-    return "\n".join(main)
-
-
-def _undecided(found: list[tuple[str, int]]) -> bool:
-    return bool(found) and not any(part == MAIN for _, part in found)
-
-
-_BLOCKS = "array<struct<text:string,part:int>>"
+    """Text of the main blocks and of the undecided ones that are not covered; beside main blocks, of runs of DEPTH words or more."""
+    kept = [part == MAIN or part == UNDECIDED and i not in (covered or ()) for i, (_, part) in enumerate(found)]
+    if any(part == MAIN for _, part in found):
+        i = 0
+        while i < len(found):
+            j = i
+            while j < len(found) and kept[j] and found[j][1] == UNDECIDED:
+                j += 1
+            if sum(text.count(" ") + 1 for text, _ in found[i:j]) < DEPTH:
+                kept[i:j] = [False] * (j - i)
+            i = max(j, i + 1)
+    return "\n".join(text for (text, _), keep in zip(found, kept, strict=True) if keep)
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every page with its main text, or with null if it is undecided; its blocks outside main elements; a digest of its own text."""
+    """Every page with its blocks; the words outside main elements; whether any block is undecided; a digest of its own text."""
     for batch in batches:
-        texts, rest, own = [], [], []
+        texts, parts, rest, undecided, own = [], [], [], [], []
         for html in batch.column("html").to_pylist():
             found = blocks(html)
-            texts.append(None if _undecided(found) else main_of(found))
-            rest.append([{"text": text, "part": part} for text, part in found if part != MAIN])
+            texts.append([text for text, _ in found])
+            parts.append([part for _, part in found])
+            rest.append(" ".join(text for text, part in found if part != MAIN))
+            undecided.append(UNDECIDED in parts[-1])
             said = "\n".join(text for text, part in found if part != BOILERPLATE)
             own.append(blake2b(said.encode("utf-8", "surrogatepass"), digest_size=16).digest())
-        kind = pa.list_(pa.struct([("text", pa.string()), ("part", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(texts, pa.string()), pa.array(rest, kind), pa.array(own, pa.binary())], ["page_id", "url", "host", "text", "blocks", "own"])
-
-
-def _tokens(found: list[dict]) -> list[str]:
-    return " ".join(x["text"] for x in found).split(" ")
+        made = [pa.array(texts, pa.list_(pa.string())), pa.array(parts, pa.list_(pa.int8())), pa.array(rest, pa.string()), pa.array(undecided, pa.bool_()), pa.array(own, pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("page_id", "url", "host")] + made, ["page_id", "url", "host", "texts", "parts", "rest", "open", "own"])
 
 
 def _suffixes(depth: int, span: int):
-    """Suffixes of every page's stream: the first words, each with a space after it, and of how many characters `depth` words are."""
+    """Suffixes of every page's stream: the first words, each with a space after it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, suffixes, places, heads = [], [], [], []
-            for i, found in enumerate(batch.column("blocks").to_pylist()):
-                words = [w + " " for w in _tokens(found)] if found else []
+            rows, suffixes, places = [], [], []
+            for i, rest in enumerate(batch.column("rest").to_pylist()):
+                words = [w + " " for w in rest.split(" ")] if rest else []
                 for at in range(len(words) - depth + 1):
                     rows.append(i)
                     suffixes.append("".join(words[at : at + span]))
                     places.append(at)
-                    heads.append("".join(words[at : at + depth]))
                 if len(rows) >= 20_000 or i + 1 == batch.num_rows:
                     take = pa.array(rows, pa.int64())
-                    yield pa.RecordBatch.from_arrays([batch.column(c).take(take) for c in ("pk", "host", "own", "open")] + [pa.array(suffixes, pa.string()), pa.array(heads, pa.string()), pa.array(places, pa.int32())], ["pk", "host", "own", "open", "suffix", "head", "at"])
-                    rows, suffixes, places, heads = [], [], [], []
+                    yield pa.RecordBatch.from_arrays([batch.column(c).take(take) for c in ("pk", "host", "own", "open")] + [pa.array(suffixes, pa.string()), pa.array(places, pa.int32())], ["pk", "host", "own", "open", "suffix", "at"])
+                    rows, suffixes, places = [], [], []
 
     return run
 
@@ -271,18 +269,20 @@ def _repeated(depth: int):
 def _settled(share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for rest, repeats in zip(batch.column("blocks").to_pylist(), batch.column("repeats").to_pylist(), strict=True):
-                found = [(x["text"], x["part"]) for x in rest]
+            out = []
+            for texts, parts, repeats in zip(*(batch.column(c).to_pylist() for c in ("texts", "parts", "repeats")), strict=True):
+                found = list(zip(texts, parts, strict=True))
                 hit = {r["at"] + k for r in repeats or () for k in range(r["words"])}
                 covered, token = set(), 0
                 for i, (text, part) in enumerate(found):
+                    if part == MAIN or not hit:
+                        continue
                     size = text.count(" ") + 1
                     if part == UNDECIDED and sum(token + k in hit for k in range(size)) >= share * size:
                         covered.add(i)
                     token += size
-                texts.append(main_of(found, covered) or main_of(found))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+                out.append(main_of(found, covered) or main_of(found))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
     return run
 
@@ -293,22 +293,17 @@ def extract_main(pages: DataFrame, depth: int = DEPTH, span: int = SPAN, share:
     A null or empty html has an empty text. The host is the part of the url after //, lower-cased;
     pages without one are a host of their own. Pages of a host with the same text outside boilerplate
     count once for a substring, so copies of an article are no repeats; repeats never take all of a
-    page's text. Pages are read whole, however long. Repeated rows all come back and are treated
+    page's text, nor any of what is in an article or main element. Pages are read whole, however long. Repeated rows all come back and are treated
     alike. Other columns, whatever their names, are not read. An empty table gives an empty result.
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     ident = pages.schema["page_id"].dataType.simpleString()
-    read = pages.select("page_id", "url", "html", host.alias("host")).mapInArrow(_parsed, f"page_id {ident}, url string, host string, text string, blocks {_BLOCKS}, own binary")
+    read = pages.select("page_id", "url", "html", host.alias("host")).mapInArrow(_parsed, f"page_id {ident}, url string, host string, texts array<string>, parts array<tinyint>, rest string, open boolean, own binary")
     parsed = cut(read.withColumn("pk", F.monotonically_increasing_id()))  # fixed by being written
-    sure = parsed.where("text is not null").select("page_id", "url", "text")
-    hosts = cut(parsed.where("text is null").select("host").distinct())
-    if not hosts.isEmpty():
-        with_array = parsed.join(hosts, "host", "left_semi").select("pk", "host", "own", F.col("text").isNull().alias("open"), "blocks")
-        suffixes = with_array.mapInArrow(_suffixes(depth, span), "pk long, host string, own binary, open boolean, suffix string, head string, at int")
-        distinct = suffixes.groupBy("host", "head", "suffix").agg(F.min("own").alias("low"), F.max("own").alias("high"))
-        array = distinct.repartition("host", "head").sortWithinPartitions("host", "head", "suffix")
-        repeated = cut(array.mapInArrow(_repeated(depth), "host string, suffix string, words int"))
-        hits = suffixes.where("open").join(repeated, ["host", "suffix"]).groupBy("pk").agg(F.collect_list(F.struct("at", "words")).alias("repeats"))
-        rest = parsed.where("text is null").select("pk", "page_id", "url", "blocks").join(hits, "pk", "left").mapInArrow(_settled(share), f"page_id {ident}, url string, text string")
-        sure = sure.unionByName(rest)
-    return sure.withColumn("n_chars", F.char_length("text").cast("long"))
+    suffixes = parsed.select("pk", "host", "own", "open", "rest").mapInArrow(_suffixes(depth, span), "pk long, host string, own binary, open boolean, suffix string, at int")
+    distinct = suffixes.groupBy("host", "suffix").agg(F.min("own").alias("low"), F.max("own").alias("high")).withColumn("head", F.substring_index("suffix", " ", depth))
+    array = distinct.repartition("host", "head").sortWithinPartitions("host", "head", "suffix")
+    repeated = cut(array.mapInArrow(_repeated(depth), "host string, suffix string, words int"))
+    hits = cut(suffixes.where("open").join(repeated, ["host", "suffix"]).groupBy("pk").agg(F.collect_list(F.struct("at", "words")).alias("repeats")))
+    out = parsed.select("pk", "page_id", "url", "texts", "parts").join(hits, "pk", "left").mapInArrow(_settled(share), f"page_id {ident}, url string, text string")
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
