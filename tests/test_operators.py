@@ -136,6 +136,15 @@ def test_csv(spark, tmp_path):
     assert not [p for p in tmp_path.iterdir() if p.name.endswith((".new", ".old"))]
 
 
+def test_csv_cells_as_they_are(spark, tmp_path):
+    cells = ["", " ", "  a", "a  ", "\ta\t", "\n", "\r", "\r\n", "a\rb", "\na", "a\\", "\\\"", '"', '"a"', "a,b", "#a", "\x00", "\x01a\x02", "\ufeffa", "\u3000a\u3000", "null"]
+    rows = [(str(n), a, b) for n, (a, b) in enumerate((a, b) for a in cells for b in cells)]
+    files.write_csv(spark.createDataFrame(rows, "n string, a string, b string"), str(tmp_path / "t"))
+    assert sorted(map(tuple, files.read_csv(spark, str(tmp_path / "t")).collect())) == sorted(rows)
+    files.write_csv(spark.createDataFrame([(c,) for c in [*cells, None]], "a string"), str(tmp_path / "one"))
+    assert sorted(r.a for r in files.read_csv(spark, str(tmp_path / "one")).collect()) == sorted([*cells, ""])
+
+
 def test_listing_and_copy(spark, tmp_path):
     source, target = tmp_path / "src", tmp_path / "dst"
     (source / "sub").mkdir(parents=True)

@@ -20,8 +20,16 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = No
 
 
 def write_csv(df: DataFrame, path: str, by: str | None = None) -> None:
-    """CSV with a header, in a folder for each value of `by` if given; one pass over `df`."""
-    writer = df.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "")
+    """CSV with a header, in a folder for each value of `by` if given; one pass over `df`.
+
+    Cells are written as they are, white space around them too. An empty cell that is alone on its line is quoted, since
+    readers pass over empty lines.
+    """
+    cells = [c for c in df.schema if c.name != by]
+    alone = len(cells) == 1 and cells[0].dataType.simpleString() == "string"
+    df = df.na.fill("") if alone else df
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", '""' if alone else "")
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     (writer.partitionBy(by) if by else writer).csv(path)
 
 
