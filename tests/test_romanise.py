@@ -1,6 +1,7 @@
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tonehive.functions import romanise as r
 
@@ -73,3 +74,14 @@ def test_spark_column_and_native_stage(spark):
         assert row.n == r.digits_a_to_b(row.t)
     r.register(spark)
     assert spark.sql("select convert_roman('tsuí')").first()[0] == "chúi"
+
+
+def test_native_marks_to_digits_passes_over_rules(spark):
+    rules = r.marks_to_digits()
+    texts = ["", None, "plain", "漢字 abc", *(x.pattern.split("(")[0] + rest for x in rules for rest in ("", "nnh x", "é á"))]
+    texts += ["éá", "áé", "ó͘ ô͘nn o͘ O͘", "n̂g m̄ ń", "é" * 40 + "ⁿ", *(c[0] for c in CASES)]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n long, t string")
+    stage = r.native(F.col("t"), rules)
+    assert "filter" in str(stage)
+    for row in df.select("t", stage.alias("got")).collect():
+        assert row.got == r.to_digits(row.t)
