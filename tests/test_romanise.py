@@ -85,3 +85,16 @@ def test_native_marks_to_digits_passes_over_rules(spark):
     assert "filter" in str(stage)
     for row in df.select("t", stage.alias("got")).collect():
         assert row.got == r.to_digits(row.t)
+
+
+def test_memo_is_bounded(spark):
+    one = r.Converter(memo=10)
+    words = [f"tsu{n}" for n in range(100)] + ["tsuí" * 1000]
+    for w in [*words, *words]:
+        assert one.tokens(w) == r.Converter().tokens(w)
+        one.tokens("tsuí")
+        kept = one._tokens
+        assert "tsuí" in {**kept, **kept._older} and len(kept) + len(kept._older) <= 20 and max(map(len, kept)) <= r.LONGEST
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    r.convert("t")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
