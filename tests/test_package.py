@@ -133,3 +133,27 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert {r.text for r in got.collect()} == {'text, "quoted"'}
     assert ingest.arrivals(ingest.manifests(spark, folder)).isStreaming
     write_csv(row(9), str(tmp_path / "w"))
+
+
+def test_stages_clean_and_rate_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from tonehive.operators.filters import Rules
+    from tonehive.plans import package
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def counting(text, remove_punctuation=True):
+        def seen(t):
+            calls.add(1)
+            return t
+
+        return F.lower(F.udf(seen)(text))
+
+    monkeypatch.setattr(package, "clean_asr", counting)
+    rows = [(str(n), None, "" if n == 0 else "word " * n, float(n), None) for n in range(20)]
+    clips = spark.createDataFrame(rows, "file string, wav binary, text string, duration_s double, snr_db double").coalesce(1)
+    report = package.run(clips, package.Config(skip_normalization=True, rules=Rules(min_dur=3.0, max_dur=15.0, min_snr=None)), str(tmp_path / "out"))
+    stages = report["stages"]
+    assert stages["2_cleaned"]["stats"] == {"kept": 19, "dropped": 1}
+    assert stages["3_filtered"]["stats"] == {"kept": 13, "dropped": 6, "reasons": {"duration": 6}, "audio_checks_skipped": False}
+    assert calls.value <= 20 * 2  # it was 20 * 2 or more with a pass for the counts

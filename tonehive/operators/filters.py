@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tonehive.functions.text import cer
@@ -75,3 +75,19 @@ def stage_counts(df: DataFrame, reason: str = "drop_reason") -> DataFrame:
         F.coalesce(F.sum(F.when(gone, F.col("n"))), F.lit(0)).alias("dropped"),
         F.map_from_entries(F.array_sort(F.collect_list(F.when(gone, F.struct(F.col(reason), F.col("n")))))).alias("reasons"),
     )
+
+
+#: Every reason that a stage gives.
+REASONS = ("text", "duration", "wps", "snr", "cer")
+
+
+def observed_counts(df: DataFrame, seen: Observation, reason: str = "drop_reason") -> DataFrame:
+    """`df`, whose rows are counted by reason (of REASONS) as the next action reads them; `counts_of` gives the counts."""
+    gone = [F.count(F.when(F.col(reason) == name, 1)).alias(name) for name in REASONS]
+    return df.observe(seen, F.count(F.when(F.col(reason).isNull(), 1)).alias("kept"), F.count(reason).alias("dropped"), *gone)
+
+
+def counts_of(seen: Observation) -> tuple[int, int, dict[str, int]]:
+    """Kept, dropped and number by reason, once the action is over."""
+    n = seen.get
+    return n["kept"], n["dropped"], {name: n[name] for name in sorted(REASONS) if n[name]}

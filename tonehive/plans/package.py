@@ -10,12 +10,12 @@ import json
 import time
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tonehive.functions.audio import normalise_audio
 from tonehive.functions.text import clean_asr, clean_tts, words_per_second
-from tonehive.operators.filters import Rules, drop_reason, stage_counts, within_length
+from tonehive.operators.filters import Rules, counts_of, drop_reason, observed_counts, within_length
 from tonehive.operators.splits import random_split, speaker_split, split_counts, stratified_split
 from tonehive.operators.stats import duration_stats
 from tonehive.sources.files import write_shards, write_text
@@ -127,9 +127,11 @@ def run(clips: DataFrame, config: Config, out: str, subtitle_metadata: dict[str,
             table = table.where("audio_error is null").drop("audio_error") if "audio_error" in table.columns else table
         elif k in (2, 3):
             marked = (cleaned if k == 2 else filtered)(table, config)
-            row = stage_counts(marked).first()
-            stats = {"kept": row.kept, "dropped": row.dropped} | ({"reasons": dict(row.reasons), "audio_checks_skipped": not config.rules.filter_audio} if k == 3 else {})
-            table = _kept(spark, marked.where("drop_reason is null").drop("drop_reason"), path(k))
+            # Counted while it is written, so that texts are cleaned and rated once.
+            seen = Observation()
+            table = _kept(spark, observed_counts(marked, seen).where("drop_reason is null").drop("drop_reason"), path(k))
+            kept, dropped, reasons = counts_of(seen)
+            stats = {"kept": kept, "dropped": dropped} | ({"reasons": reasons, "audio_checks_skipped": not config.rules.filter_audio} if k == 3 else {})
         elif k == 4:
             table = _kept(spark, split(table, config), path(k))
             rows = {r.split: r for r in split_counts(table).collect()}
